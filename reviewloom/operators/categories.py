@@ -90,7 +90,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "i", ma
     """(node, component): the least node each node is connected with.
 
     Each round takes the least label among the neighbours and then the label of that label, so a chain
-    shortens by half per round. Lineage is cut by a checkpoint per round, edges are written once.
+    shortens by half per round. Labels are written once per round, edges once in all.
     """
     both = cut_lineage(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut_lineage(nodes.select(F.col(node), F.col(node).alias("component")))
@@ -114,7 +114,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "i", ma
 
 def category_clusters(overlap: DataFrame, cut: float) -> DataFrame:
     """(i, component): single-linkage clusters of the overlap rows at distance `cut`."""
-    return connected_components(overlap.select("i").distinct(), cluster_edges(overlap, cut))
+    cells = cut_lineage(overlap.filter(F.col("share") != 0))
+    return connected_components(cells.select("i").distinct(), cluster_edges(cells, cut))
 
 
 def ordered_overlap(overlap: DataFrame, clusters: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
     )
     for name, value in conf.items():
@@ -41,10 +42,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/reviewloom/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the reliable checkpoint folder and go on from there."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write the rows as a table below the shared folder and go on from there.
+
+    The rows outlive a lost executor, are computed once, and their size is known to later joins.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
