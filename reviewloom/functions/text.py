@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.functions.words import CORPUS_STOP_WORDS, STOP_WORDS
 
@@ -28,10 +28,22 @@ def simple_tokens(col: str | Column, words: Sequence[str] = STOP_WORDS) -> Colum
     return F.filter(found, lambda w: F.length(w).between(2, 15) & ~w.startswith("_") & ~w.isin(listed))
 
 
+def _branches(words: Sequence[str]) -> str:
+    """Pattern of the words with common beginnings written once; longer words are tried first."""
+    heads: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        heads.setdefault(word[:1], []).append(word[1:])
+    ends = "" in heads
+    parts = [re.escape(head) + _branches(rest) for head, rest in heads.items() if head]
+    if not parts:
+        return ""
+    body = parts[0] if len(parts) == 1 and not ends else "(?:" + "|".join(parts) + ")"
+    return body + "?" if ends else body
+
+
 def stop_word_pattern(words: Sequence[str] = CORPUS_STOP_WORDS) -> str:
-    """Pattern of the stop words as whole words, longest first, with Unicode word boundaries."""
-    ordered = sorted(set(words), key=lambda w: (-len(w), w))
-    return r"(?U)\b(?:" + "|".join(re.escape(w) for w in ordered) + r")\b"
+    """Pattern of the stop words as whole words (Unicode word boundaries), the longest one at each place."""
+    return r"(?U)\b" + _branches(words) + r"\b"
 
 
 def corpus_text(col: str | Column, words: Sequence[str] = CORPUS_STOP_WORDS) -> Column:
@@ -52,7 +64,15 @@ def blank_words(col: str | Column) -> Column:
 
 def ngrams(tokens: str | Column, n: int = 2) -> Column:
     """n consecutive tokens joined by a blank."""
-    tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-    starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-    pieces = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-    return F.when(F.size(tokens) >= n, pieces).otherwise(F.array().cast("array<string>"))
+    def grams(words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+        pieces = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+        return F.when(F.size(words) >= n, pieces).otherwise(F.array().cast("array<string>"))
+
+    # the one-element array computes the tokens once
+    return F.get(F.transform(F.array(tokens), grams), F.lit(0))
+
+
+def explode_words(df: DataFrame, tokens: str | Column, name: str, *cols: str) -> DataFrame:
+    """One row per token. The outer form keeps Spark from computing the tokens twice to filter empty arrays."""
+    return df.select(*cols, F.explode_outer(tokens).alias(name)).filter(F.col(name).isNotNull())

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from reviewloom.functions.columns import explode_map, safe_ratio, split_slot
+from reviewloom.functions.text import explode_words
 from reviewloom.operators.joins import densify, left_totals
 from reviewloom.operators.ordering import as_list, positions
 
@@ -116,7 +117,7 @@ def term_totals(dtm: DataFrame, min_total: int = 0, term: str = "term", n: str =
 def token_counts(tokens: DataFrame, key: str | Sequence[str], col: str = "tokens", name: str = "word") -> DataFrame:
     """Occurrences of each token of an array column per key."""
     key = as_list(key)
-    return tokens.select(*key, F.explode(col).alias(name)).groupBy(*key, name).agg(_rows("frequency"))
+    return explode_words(tokens, col, name, *key).groupBy(*key, name).agg(_rows("frequency"))
 
 
 def quantile(df: DataFrame, col: str, q: float, name: str = "quantile") -> DataFrame:

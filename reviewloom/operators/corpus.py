@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from reviewloom.functions.stemming import stem_text, stem_terms
-from reviewloom.functions.text import blank_words, corpus_text, drop_stopwords, ngrams, tokenize
+from reviewloom.functions.text import blank_words, corpus_text, explode_words, ngrams
 from reviewloom.functions.words import CORPUS_STOP_WORDS, STOP_BIGRAMS, STOP_WORDS
 from reviewloom.operators.aggregates import business_stats, doc_freq, doc_freq_by, term_totals
 from reviewloom.operators.cohorts import top_n_ties
@@ -33,7 +33,7 @@ def corpus_tokens(cleaned: DataFrame, *cols: str, n: int = 1, text: str = "clean
 def doc_terms(tokens: DataFrame, doc: str | Sequence[str] = "review_id", min_len: int = 3, col: str = "tokens") -> DataFrame:
     """(doc, term, n) with terms of at least `min_len` characters."""
     docs = [doc] if isinstance(doc, str) else list(doc)
-    terms = tokens.select(*docs, F.explode(col).alias("term")).filter(F.length("term") >= min_len)
+    terms = explode_words(tokens, col, "term", *docs).filter(F.length("term") >= min_len)
     return terms.groupBy(*docs, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -144,6 +144,3 @@ def prune_bigrams(dtm: DataFrame, min_total: int = 300, stop: Sequence[str] = ST
     kept = term_totals(drop_terms(dtm, stop), min_total).select("term")
     return dtm.join(kept, "term", "left_semi")
 
-
-def word_tokens(review: DataFrame, *cols: str, text: str = "text") -> DataFrame:
-    return review.select(*cols, drop_stopwords(tokenize(text)).alias("tokens"))
