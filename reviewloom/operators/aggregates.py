@@ -101,13 +101,17 @@ def business_stats(review: DataFrame, key: str = "business_id") -> DataFrame:
     return review.groupBy(key).agg(F.avg("stars").alias("avg_stars"), _rows("num_reviews"))
 
 
-def doc_freq(dtm: DataFrame, term: str = "term") -> DataFrame:
-    """Documents per term; the matrix holds a document and term once."""
-    return dtm.groupBy(term).agg(_rows("num"))
+def doc_freq(dtm: DataFrame, term: str = "term", n: str = "n") -> DataFrame:
+    """Documents per term; the matrix holds a document and term once.
+
+    Counting n > 0 keeps the matrix the same plan here and where it is joined, so that Spark computes
+    and shuffles it once and reuses the exchange.
+    """
+    return dtm.groupBy(term).agg(F.count_if(F.col(n) > 0).alias("num"))
 
 
-def doc_freq_by(dtm: DataFrame, key: str = "business_id", term: str = "term") -> DataFrame:
-    return dtm.groupBy(term, key).agg(_rows("num"))
+def doc_freq_by(dtm: DataFrame, key: str = "business_id", term: str = "term", n: str = "n") -> DataFrame:
+    return dtm.groupBy(term, key).agg(F.count_if(F.col(n) > 0).alias("num"))
 
 
 def term_totals(dtm: DataFrame, min_total: int = 0, term: str = "term", n: str = "n") -> DataFrame:

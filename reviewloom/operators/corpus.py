@@ -37,8 +37,9 @@ def doc_terms(tokens: DataFrame, doc: str | Sequence[str] = "review_id", min_len
     return terms.groupBy(*docs, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def count_docs(docs: DataFrame, doc: str) -> DataFrame:
-    return docs.select(doc).distinct().agg(F.count(F.lit(1)).alias("docs"))
+def count_docs(dtm: DataFrame, doc: str) -> DataFrame:
+    """Documents of a matrix, in one row; keeps n for the reason given at doc_freq."""
+    return dtm.groupBy(doc).agg(F.max("n").alias("_m")).agg(F.count_if(F.col("_m") > 0).alias("docs"))
 
 
 def drop_sparse(dtm: DataFrame, docs: DataFrame, sparsity: float, part_rows: int | None = None,
@@ -53,17 +54,19 @@ def drop_sparse(dtm: DataFrame, docs: DataFrame, sparsity: float, part_rows: int
     if part_rows is None:
         total = docs.agg(F.count(F.lit(1))).scalar()
         kept = doc_freq(dtm).filter(F.col("num") > total * share).select("term")
-        return dtm.join(F.broadcast(kept), "term", "left_semi")
+        # an inner join with the unique terms stays above the matrix, a semi join would be moved into it
+        # and the matrix computed a second time
+        return dtm.join(F.broadcast(kept), "term").select(*dtm.columns)
     numbered = global_positions(docs.select(doc), doc, "_n").select(
         doc, F.floor((F.col("_n") - 1) / part_rows).alias("part")
     )
     sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("_docs"))
     placed = dtm.join(numbered, doc)
     kept = (
-        placed.groupBy("part", "term").agg(F.count(F.lit(1)).alias("_df")).join(sizes, "part")
+        placed.groupBy("part", "term").agg(F.count_if(F.col("n") > 0).alias("_df")).join(sizes, "part")
         .filter(F.col("_df") > F.col("_docs") * share).select("part", "term")
     )
-    dense = placed.join(kept, ["part", "term"], "left_semi")
+    dense = placed.join(kept, ["part", "term"]).select(*placed.columns)
     return dense.join(terms_in_all_parts(kept, "part"), "term", "left_semi") if in_all_parts else dense
 
 
@@ -91,13 +94,17 @@ def prune_vocab(dtm: DataFrame, docs: DataFrame, min_df: int = 20, max_share: fl
     """Terms in at least `min_df` and at most `max_share` of the documents, the `keep` most common of them."""
     total = docs.agg(F.count(F.lit(1))).scalar()
     terms = doc_freq(dtm).filter((F.col("num") >= min_df) & (F.col("num") <= total * max_share))
-    return terms.orderBy(F.desc("num"), "term").limit(keep)
+    return terms.orderBy(F.desc("num"), "term").limit(keep)  # at most `keep` rows
 
 
-def bow_by_business(tokens: DataFrame, key: str = "business_id", vocab: DataFrame | None = None) -> DataFrame:
-    """(business, term, n): all reviews of a business as one document, counted without collecting them."""
-    bag = doc_terms(tokens, key, min_len=1)
-    return bag if vocab is None else bag.join(vocab.select("term"), "term", "left_semi")
+def bow_by_business(dtm: DataFrame, key: str = "business_id", vocab: DataFrame | None = None) -> DataFrame:
+    """(business, term, n): all reviews of a business as one document, from a matrix that holds the business.
+
+    Counts are added per business; the tokens of a business never meet in one row.
+    """
+    if vocab is not None:
+        dtm = dtm.join(vocab.select("term"), "term")
+    return dtm.groupBy(key, "term").agg(F.sum("n").alias("n"))
 
 
 def tfidf(dtm: DataFrame, variant: str = "log2", doc: str = "review_id") -> DataFrame:
@@ -117,8 +124,9 @@ def tfidf(dtm: DataFrame, variant: str = "log2", doc: str = "review_id") -> Data
     weighted = dtm.join(df.select("term", idf.alias("_idf")), "term").select(
         doc, "term", (F.col("n") * F.col("_idf")).alias("_w")
     ).filter(F.col("_w") != 0)
-    norms = weighted.groupBy(doc).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return weighted.join(norms, doc).select(doc, "term", (F.col("_w") / F.col("_norm")).alias("weight"))
+    # a window holds the distinct terms of one document
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(W.partitionBy(doc)))
+    return weighted.select(doc, "term", (F.col("_w") / norm).alias("weight"))
 
 
 def stemmed_tfidf(texts: DataFrame, doc: str = "file_name", text: str = "text",
@@ -142,5 +150,5 @@ def prune_bigrams(dtm: DataFrame, min_total: int = 300, stop: Sequence[str] = ST
     Documents without any kept bigram have no row left.
     """
     kept = term_totals(drop_terms(dtm, stop), min_total).select("term")
-    return dtm.join(kept, "term", "left_semi")
+    return dtm.join(kept, "term").select(*dtm.columns)
 

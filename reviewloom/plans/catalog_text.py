@@ -275,21 +275,23 @@ vo AS (SELECT term, count(DISTINCT review_id) AS num FROM st GROUP BY 1 HAVING n
 
 
 def _simple(spark, sf):
-    return V.text_review(spark, sf).select("review_id", "business_id", simple_tokens("text").alias("tokens"))
+    tokens = V.text_review(spark, sf).select("review_id", "business_id", simple_tokens("text").alias("tokens"))
+    return T.doc_terms(tokens, ["review_id", "business_id"], min_len=1)
 
 
-def _vocab(spark, sf):
-    return T.prune_vocab(T.doc_terms(_simple(spark, sf), min_len=1), V.text_review(spark, sf))
+def _bow(spark, sf):
+    dtm = _simple(spark, sf)
+    return T.bow_by_business(dtm, vocab=T.prune_vocab(dtm, V.text_review(spark, sf)))
 
 
 @query("t14_prune_vocab", "WITH " + _SIMPLE + " SELECT term, num FROM vo")
 def _(spark, sf):
-    return _vocab(spark, sf)
+    return T.prune_vocab(_simple(spark, sf), V.text_review(spark, sf))
 
 
 @query("t15_bow_by_business", "WITH " + _SIMPLE + " SELECT business_id, term, count(*) AS n FROM st WHERE term IN (SELECT term FROM vo) GROUP BY 1, 2")
 def _(spark, sf):
-    return T.bow_by_business(_simple(spark, sf), vocab=_vocab(spark, sf))
+    return _bow(spark, sf)
 
 
 @query("t16_tfidf_log2", "WITH " + _SIMPLE + """,
@@ -297,8 +299,7 @@ bw AS (SELECT business_id, term, count(*) AS n FROM st WHERE term IN (SELECT ter
 wt AS (SELECT business_id, term, n * log2((SELECT count(DISTINCT business_id) FROM bw) / count(*) OVER (PARTITION BY term)) AS w FROM bw)
 SELECT business_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY business_id)), 6) AS weight FROM wt WHERE w <> 0""")
 def _(spark, sf):
-    bow = T.bow_by_business(_simple(spark, sf), vocab=_vocab(spark, sf))
-    return T.tfidf(bow, "log2", "business_id").withColumn("weight", r6("weight"))
+    return T.tfidf(_bow(spark, sf), "log2", "business_id").withColumn("weight", r6("weight"))
 
 
 @query("t17_tfidf_smooth", "WITH " + _DTM + """,

@@ -9,7 +9,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewloom.sources.tables import open_table
+from reviewloom.sources.tables import open_table, spread_small
 
 CUT_DATE = "1998-01-01"
 
@@ -100,7 +100,7 @@ def checkin(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def text_review(spark: SparkSession, sf: str) -> DataFrame:
-    return raw(spark, sf, "documents").select(
+    return spread_small(raw(spark, sf, "documents").select("doc_id", "source", "text")).select(
         F.col("doc_id").alias("review_id"), F.col("source").alias("business_id"),
         ((F.floor(F.col("doc_id") / 20) % 5) + 1).cast("int").alias("stars"), "text",
     )

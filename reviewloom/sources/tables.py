@@ -82,3 +82,13 @@ def read_text_dir(spark: SparkSession, path: str) -> DataFrame:
         spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
         .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
     )
+
+
+def spread_small(df: DataFrame, bytes_per_task: int = 128 << 20) -> DataFrame:
+    """Rows of a table of few small files spread over all cores, for costly work per row.
+
+    A table with enough bytes for every core comes back as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * bytes_per_task else df
