@@ -11,7 +11,8 @@ from reviewloom.functions.text import blank_words, corpus_text, ngrams, tokenize
 from reviewloom.operators import aggregates as A, categories as C, corpus as T, filters as P, ranking as K
 from reviewloom.operators import reviewwords as R
 from reviewloom.operators.checkins import checkin_profile
-from reviewloom.operators.overlap import overlap_counts
+from reviewloom.operators.overlap import customer_overlap, overlap_counts
+from reviewloom.operators.ranking import top_overlap
 
 
 def one(spark, expr, value, kind="string"):
@@ -138,6 +139,20 @@ def test_overlap_equals_plain_self_join(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, naive.collect()))
 
 
+@pytest.mark.parametrize("users, hot_reviews, n", [(40, 200, 15), (40, 20, 4), (4, 20, 1)])
+def test_hot_users_do_not_change_the_overlap(spark, users, hot_reviews, n):
+    rng = random.Random(users + n)
+    rows = [(0 if i % 3 == 0 else rng.randrange(1, users), rng.randrange(60), rng.randrange(1, 6)) for i in range(900)]
+    review = spark.createDataFrame(rows, "user_id int, business_id int, stars int")
+    business = spark.createDataFrame([(i, f"name{i % 23:02d}") for i in range(60)], "business_id int, name string")
+    plain = top_overlap(overlap_counts(review, business), n)
+    got = customer_overlap(review, business, n, hot_reviews=hot_reviews)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    some = spark.createDataFrame([(3,), (7,)], "business_id int")
+    got = customer_overlap(review, business, n, ids=some, hot_reviews=hot_reviews)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.filter("business_id in (3, 7)").collect()))
+
+
 # ---- categories
 
 def cells(spark, rows):
