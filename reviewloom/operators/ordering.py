@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from reviewloom.session import cut_lineage
+
 HOT_ROWS = 1_000_000
 PREFIX = 2
 
@@ -46,17 +48,20 @@ def positions(
 ) -> DataFrame:
     """Adds the 1-based position of each row of a key in `order` (ascending, last column unique).
 
-    Rows are shuffled once, by key and piece; only counts of hot keys are shuffled besides.
+    Hot keys are looked for first, by one aggregate over the key columns. Without any, one window by key
+    is enough. Otherwise rows are shuffled once, by key and piece, and only counts of hot keys besides.
     """
     keys, order = as_list(keys), as_list(order)
-    string_id = dict(df.dtypes)[order[-1]] == "string"
-    pieces = order_pieces(order, string_id)
+    # rows / hot_rows keys at most, so this table stays small at any size of df
+    hot = cut_lineage(hot_keys(df, keys, hot_rows), "hot-keys")
+    if hot.isEmpty():
+        inside = W.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(inside).cast("long"))
+    pieces = order_pieces(order, dict(df.dtypes)[order[-1]] == "string")
     if not pieces:
         raise ValueError("order by a single numeric column: use global_positions")
     cols = [f"_p{i}" for i in range(len(pieces))]
-    # rows / hot_rows keys at most, so this side stays small at any size of df
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
-    tagged = df.join(hot, keys, "left").select(
+    tagged = df.join(F.broadcast(hot), keys, "left").select(
         *df.columns, *[F.when(F.col("_hot"), p).alias(c) for p, c in zip(pieces, cols)], "_hot"
     )
     sizes = tagged.filter("_hot").groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("_size"))

@@ -14,7 +14,7 @@ def reviews(spark):
     """A hot key with a third of the rows, many of them on one day, and some small keys."""
     rng = random.Random(7)
     rows = []
-    for i in range(3000):
+    for i in range(15000):
         key = "hot" if i % 3 == 0 else f"k{rng.randrange(20)}"
         day = dt.date(2015, 1, 1) + dt.timedelta(days=0 if i % 4 == 0 else rng.randrange(400))
         rows.append((key, day, f"{rng.randrange(10**6):06d}-{i}", rng.randrange(1, 6)))
@@ -44,11 +44,11 @@ def test_number_values_are_dense(reviews):
     assert sorted(got) == list(range(len(got)))
 
 
-@pytest.mark.parametrize("hot_rows", [50, 10**6])
-def test_ewm_equals_pandas(reviews, hot_rows):
-    pdf = frame(reviews)
-    want = pdf.groupby("business_id").stars.apply(lambda s: s.ewm(span=28).mean()).to_numpy()
-    got = series.ewm_mean(reviews, "business_id", ["date", "review_id"], "stars", hot_rows=hot_rows).toPandas()
+@pytest.mark.parametrize("hot_rows, span", [(50, 28), (10**6, 28), (10**6, 5), (10**6, 500)])
+def test_ewm_equals_pandas(reviews, hot_rows, span):
+    pdf = frame(reviews)  # the hot key has more rows than a block
+    want = pdf.groupby("business_id").stars.apply(lambda s: s.ewm(span=span).mean()).to_numpy()
+    got = series.ewm_mean(reviews, "business_id", ["date", "review_id"], "stars", span, hot_rows=hot_rows).toPandas()
     got = got.sort_values(["business_id", "date", "review_id"]).moving_avg.to_numpy()
     assert abs(want - got).max() < 1e-12
 
