@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+import sys
+from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+# tasks get the stemmer with the query, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+MEMO = 200_000
+
 # Suffix tables and exceptions of the published Porter2 (Snowball English) definition
 _SPECIAL = {
     "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "idly": "idl",
@@ -134,18 +141,23 @@ def stem_text(col: str | Column) -> Column:
     """Texts with every blank-separated word stemmed.
 
     Order matters for bigrams, so the words stay in their text: one Arrow column in and out and no
-    shuffle. A worker keeps the stems of the last 100,000 distinct words.
+    shuffle. A task stems each distinct word once, as long as it meets fewer than MEMO of them.
     """
     @F.pandas_udf("string")
-    def stems(texts: pd.Series) -> pd.Series:
-        from reviewloom.functions.stemming import cached_stem
+    def stems(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, str] = {}
 
-        return texts.map(lambda t: None if t is None else " ".join(map(cached_stem, t.split(" "))))
+        def of(word: str) -> str:
+            if word not in known:
+                if len(known) >= MEMO:
+                    known.clear()
+                known[word] = stem(word)
+            return known[word]
 
-    return stems(col)
+        for texts in batches:
+            yield texts.map(lambda t: None if t is None else " ".join(map(of, t.split(" "))))
 
-
-cached_stem = lru_cache(maxsize=100_000)(stem)
+    return stems(col)
 
 
 def stem_terms(df: DataFrame, col: str, name: str = "stem") -> DataFrame:

@@ -194,7 +194,7 @@ def tokens_per_key(tokens: DataFrame, key: str, doc: str, col: str = "tokens", d
 
     A key with many documents has several rows, so that no row or task holds a whole hot key.
     """
-    chunked = positions(tokens.select(key, F.lit(0).alias("_z"), F.col(doc).alias("_doc"), col), key, ["_z", "_doc"])
+    chunked = positions(tokens.select(key, doc, col), key, [doc])
     chunk = F.floor((F.col("n") - 1) / docs_per_row)
     grouped = chunked.groupBy(key, chunk.alias("chunk")).agg(F.sort_array(F.collect_list(F.struct("n", col))).alias("_d"))
     return grouped.select(key, "chunk", F.flatten(F.col("_d")[col]).alias("tokens"))

@@ -32,11 +32,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
 
 
 def order_pieces(order: Sequence[str], string_id: bool) -> list[Column]:
-    """Expressions that grow with the order: its leading columns, then a prefix of a string id."""
-    pieces = [F.col(c) for c in order[:-1]]
-    if string_id:
-        pieces.append(F.substring(F.col(order[-1]), 1, PREFIX))
-    return pieces
+    """Expressions that grow with the order: its leading columns, then a coarse form of the id, the first
+    characters of a string or the number of 65,536 consecutive integers."""
+    last = order[-1]
+    coarse = F.substring(F.col(last), 1, PREFIX) if string_id else F.floor(F.col(last) / 65_536)
+    return [*[F.col(c) for c in order[:-1]], coarse]
 
 
 def positions(
@@ -58,8 +58,6 @@ def positions(
         inside = W.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(inside).cast("long"))
     pieces = order_pieces(order, dict(df.dtypes)[order[-1]] == "string")
-    if not pieces:
-        raise ValueError("order by a single numeric column: use global_positions")
     cols = [f"_p{i}" for i in range(len(pieces))]
     tagged = df.join(F.broadcast(hot), keys, "left").select(
         *df.columns, *[F.when(F.col("_hot"), p).alias(c) for p, c in zip(pieces, cols)], "_hot"

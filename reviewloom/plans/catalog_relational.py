@@ -34,11 +34,15 @@ def _flat_review(spark: SparkSession, sf: str) -> DataFrame:
 _FLAT_SQL = "SELECT review_id, business_id, stars, CAST(date AS VARCHAR) AS date FROM v_review"
 
 
-@query("s1_table_by_name", "SELECT r_regionkey, r_name, n_nationkey, n_name FROM region JOIN nation ON n_regionkey = r_regionkey")
+_BY_NATION = """SELECT n_name, count(*) AS suppliers, round(avg(s_acctbal), 6) AS balance
+FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY n_name"""
+
+
+@query("s1_table_by_name", _BY_NATION)
 def _(spark, sf):
-    tables.table(spark, sf, "region")
+    tables.table(spark, sf, "supplier")
     tables.table(spark, sf, "nation")
-    return spark.sql("SELECT r_regionkey, r_name, n_nationkey, n_name FROM region JOIN nation ON n_regionkey = r_regionkey")
+    return spark.sql(_BY_NATION)
 
 
 @query("s2_s7_json_lines", _FLAT_SQL)
@@ -82,12 +86,14 @@ def _(spark, sf):
     return tables.load_table(spark, path)
 
 
-@query("s9_text_dir", "SELECT count(*) AS files, CAST(sum(length(p_name)) AS BIGINT) AS chars FROM (SELECT p_brand, string_agg(p_name, '') AS p_name FROM part GROUP BY 1)")
+@query("s9_text_dir", "SELECT count(DISTINCT p_partkey // 1000) AS files, CAST(sum(length(p_name)) AS BIGINT) AS chars FROM part")
 def _(spark, sf):
-    # one folder and file per brand (25 of them at any size), written by Spark, read whole
+    # files of up to 1,000 names each, read whole
     path = scratch_path(spark, "texts")
-    parts = V.raw(spark, sf, "part").select("p_brand", F.col("p_name").alias("value"))
-    parts.repartition("p_brand").write.partitionBy("p_brand").option("lineSep", "|").text(path)
+    names = V.raw(spark, sf, "part").groupBy(F.floor(F.col("p_partkey") / 1000).alias("part")).agg(
+        F.array_join(F.collect_list("p_name"), "|").alias("value")
+    )
+    names.select("value").write.option("maxRecordsPerFile", 1).option("lineSep", "|").text(path)
     docs = tables.read_text_dir(spark, path)
     return docs.agg(
         F.count(F.lit(1)).alias("files"), F.sum(F.length(F.replace("text", F.lit("|"), F.lit("")))).alias("chars")

@@ -33,6 +33,13 @@ def test_positions_do_not_depend_on_the_cut(reviews, hot_rows):
     assert got.filter("n <> m").count() == 0
 
 
+def test_positions_by_a_number(spark):
+    df = spark.range(0, 400_000, 3).select((F.col("id") % 2).alias("k"), "id")
+    plain = F.row_number().over(W.partitionBy("k").orderBy("id"))
+    got = positions(df, "k", ["id"], hot_rows=1000).withColumn("m", plain)
+    assert got.filter("n <> m").count() == 0
+
+
 def test_global_positions(reviews):
     got = global_positions(reviews.select("review_id"), "review_id").orderBy("n").collect()
     assert [r.n for r in got] == list(range(1, len(got) + 1))
