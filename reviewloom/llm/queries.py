@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reviewloom.llm.decontam import contamination
+from reviewloom.llm.jaccard import near_duplicates
 from reviewloom.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +37,49 @@ def tokenizer(name: str) -> str:
 @query("op2_token_counts")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(read(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+#: parts of the SQL: lower case of A-Z only, words of the two kinds
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ALNUM = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+BLANK = rf"regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+')"
+
+
+@query("op7_jaccard_join", f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, {BLANK} AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
+u AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT a AS x, a AS y FROM u UNION SELECT r.x, u.b FROM r JOIN u ON r.y = u.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.y, d.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP BY 1) c ON c.x = d.doc_id
+""")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(read(spark, sf, "documents"), size=4, percent=85)
+
+
+@query("op9_decontaminate", f"""
+WITH i AS (SELECT item_id, {ALNUM} AS w FROM benchmark),
+v AS MATERIALIZED (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM i WHERE len(w) > 0)),
+d AS MATERIALIZED (SELECT doc_id, {ALNUM} AS w FROM documents),
+k AS (SELECT DISTINCT k FROM v),
+x AS (SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d CROSS JOIN k WHERE len(w) >= k)),
+m AS MATERIALIZED (SELECT x.doc_id, x.p, x.k, v.item_id FROM x JOIN v ON x.k = v.k AND x.g = v.g),
+h AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (
+  SELECT doc_id, unnest(range(p, p + k)) AS q FROM (SELECT DISTINCT doc_id, p, k FROM m)) GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+""")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark")).drop("longest")

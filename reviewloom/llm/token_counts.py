@@ -20,6 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from reviewloom.llm.shipping import ship
 from reviewloom.llm.words import pieces
 
 #: counts of distinct pre-tokens that a task remembers; beyond, it forgets all and goes on
@@ -155,10 +156,10 @@ def token_counts(
 
     The driver reads the file once and broadcasts its tables (some MB, fixed by the vocabulary).
     """
-    merges = docs.sparkSession.sparkContext.broadcast(Merges(path))
+    merges = ship(docs.sparkSession, Merges(path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(merges.value)
+        counter = Counter(merges())
         for piece in pieces(batches, "text"):
             tokens = counter.counts(piece.column("text").fill_null("").to_pylist())
             yield pa.RecordBatch.from_arrays(
