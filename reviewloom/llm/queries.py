@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from reviewloom.llm.chat import flat, preference_examples, with_other_replies
 from reviewloom.llm.decontam import contamination
 from reviewloom.llm.jaccard import near_duplicates
+from reviewloom.llm.mixing import mix_sizes
 from reviewloom.llm.token_counts import token_counts
+from reviewloom.llm.urls import hosts_with_words, rule_table, url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,3 +86,82 @@ FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
 """)
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark")).drop("longest")
+
+
+#: The rules that decide before the method does
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+#: hosts of the corpus with one of these as a part of their name make up the list of unwanted hosts
+UNWANTED = ("adult", "ads", "bets", "casino", "pills", "spam")
+
+
+@query("op1_url_cascade", f"""
+WITH r(rhost, rpath, v) AS (VALUES {', '.join(str(r) for r in URL_RULES)}),
+a AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+b AS (SELECT page_id, rest, regexp_extract(rest, '^([^/?#]*)', 1) AS h FROM a),
+c AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(substr(rest, len(h) + 1), '^([^?#]*)', 1) AS path FROM b),
+m AS (SELECT page_id, arg_max(struct_pack(rule := rhost || rpath, v := v), len(rhost || rpath) * 10000 + len(rhost)) AS best
+  FROM c JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY 1)
+SELECT c.page_id, host, path, best.rule AS rule, CASE WHEN best IS NOT NULL THEN best.v
+  WHEN regexp_matches(host, '(^|[.-])({'|'.join(UNWANTED)})([.-]|$)') THEN 'block' ELSE 'allow' END AS verdict
+FROM c LEFT JOIN m ON m.page_id = c.page_id
+""")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    pages = read(spark, sf, "pages")
+    return url_verdicts(pages, rule_table(spark, URL_RULES), hosts_with_words(pages, UNWANTED))
+
+
+@query("op6_preference_format", """
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role,
+  replace(replace(coalesce(text, ''), '<|', '< |'), '|>', '| >') AS text FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, max(turn) AS turn, arg_max(text, turn) AS text FROM t WHERE role = 'assistant' GROUP BY 1),
+x AS (SELECT t.conv_id, t.turn, t.role, CASE WHEN l.turn = t.turn AND t.role = 'assistant' THEN o.text ELSE t.text END AS text
+  FROM t LEFT JOIN l ON l.conv_id = t.conv_id LEFT JOIN l o ON o.conv_id = xor(t.conv_id, 1)
+  WHERE NOT coalesce(l.turn = t.turn AND t.role = 'assistant' AND o.conv_id IS NULL, false)),
+c AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS p FROM t),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS p FROM x),
+k AS (SELECT conv_id, coalesce(min(CASE WHEN c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text THEN p END) - 1, max(p)) AS n
+  FROM c FULL JOIN r USING (conv_id, p) GROUP BY 1),
+s AS (SELECT conv_id, p, 1 AS side, role, text FROM c UNION ALL SELECT conv_id, p, 2, role, text FROM r),
+g AS (SELECT s.*, n, '<|im_start|>' || role || chr(10) AS head, text || '<|im_end|>' || chr(10) AS body FROM s JOIN k ON k.conv_id = s.conv_id),
+f AS (SELECT *, CAST(-len(head) AS VARCHAR) || ',' || CAST(CASE WHEN role = 'assistant' THEN len(body) ELSE -len(body) END AS VARCHAR) AS mask FROM g)
+SELECT conv_id, max(n) AS n_prompt,
+  coalesce(string_agg(head || body, '' ORDER BY p) FILTER (WHERE side = 1 AND p <= n), '') AS prompt,
+  coalesce(string_agg(head || body, '' ORDER BY p) FILTER (WHERE side = 1 AND p > n), '') AS chosen,
+  coalesce(string_agg(mask, ',' ORDER BY p) FILTER (WHERE side = 1 AND p > n), '') AS chosen_mask,
+  coalesce(string_agg(head || body, '' ORDER BY p) FILTER (WHERE side = 2 AND p > n), '') AS rejected,
+  coalesce(string_agg(mask, ',' ORDER BY p) FILTER (WHERE side = 2 AND p > n), '') AS rejected_mask
+FROM f GROUP BY 1
+""")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    turns = read(spark, sf, "conversations")
+    pairs = preference_examples(turns, with_other_replies(turns))
+    (chosen, chosen_mask), (rejected, rejected_mask) = flat("chosen"), flat("rejected")
+    return pairs.select(
+        "conv_id", "n_prompt", "prompt", chosen.alias("chosen"), chosen_mask.alias("chosen_mask"),
+        rejected.alias("rejected"), rejected_mask.alias("rejected_mask"),
+    )
+
+
+@query("op8_mix_to_weights", """
+WITH d AS (SELECT doc_id, source, md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))) AS key,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+w AS (SELECT *, [5e0, 2e0, 1e0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight, source_size * 2e0 AS cap FROM s),
+c AS (SELECT *, coalesce(sum(cap) OVER b, 0e0) AS capped, coalesce(sum(weight) OVER b, 0e0) AS gone,
+  1.5e0 * CAST(sum(source_size) OVER () AS DOUBLE) AS budget, sum(weight) OVER () AS weights FROM w
+  WINDOW b AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT *, (budget - capped) / (weights - gone) AS level FROM c),
+t AS (SELECT source, source_size, least(cap, coalesce(
+  (SELECT level FROM l WHERE level <= cap / weight ORDER BY cap / weight, gone LIMIT 1) * weight, cap)) AS target FROM l),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS whole FROM t),
+q AS (SELECT d.doc_id, d.size, p.*, sum(size) OVER (PARTITION BY d.source ORDER BY key ROWS UNBOUNDED PRECEDING) - size AS first
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target, CAST(whole * size + greatest(0, least(size,
+  CAST(floor(target) AS BIGINT) - whole * source_size - first)) AS BIGINT) AS taken FROM q
+""")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return mix_sizes(read(spark, sf, "documents"))

@@ -24,7 +24,6 @@ BLANK[32] = BLANK[9:14] = False
 KINDS = {"alnum": ALNUM, "blank": BLANK}
 
 BASE = 0x9E3779B97F4A7C15
-UNBASE = pow(BASE, -1, 1 << 64)
 BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 
 
@@ -81,21 +80,33 @@ class Words:
         return np.diff(self.first)
 
     def digests(self) -> np.ndarray:
-        """One per word; bytes are summed in pieces, so that a very long text needs little more than a short one."""
-        out = np.empty(len(self), np.uint64)
-        at, up, down = 0, powers(BASE, 1), powers(UNBASE, 1)
-        while at < len(self):
-            begin = self.starts[at]
-            to = max(at + 1, int(np.searchsorted(self.ends, begin + PIECE, "right")))
-            n = int(self.ends[to - 1] - begin)
-            if n > len(up):
-                up, down = powers(BASE, n), powers(UNBASE, n)
-            total = np.zeros(n + 1, np.uint64)
-            np.cumsum(BYTE[self.data[begin:begin + n]] * up[:n], out=total[1:])
-            s, e = self.starts[at:to] - begin, self.ends[at:to] - begin
-            out[at:to] = (total[e] - total[s]) * down[s]
-            at = to
-        return mix(out)
+        """One per word."""
+        return span_digests(self.data, self.starts, self.ends)
+
+
+def span_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE) -> np.ndarray:
+    """A digest of data[start:end] for rising, disjoint spans; summed in pieces, so that much data needs little more
+    memory than PIECE bytes."""
+    out, back = np.empty(len(starts), np.uint64), pow(base, -1, 1 << 64)
+    at, up, down = 0, powers(base, 1), powers(back, 1)
+    while at < len(starts):
+        begin = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, begin + PIECE, "right")))
+        n = int(ends[to - 1] - begin)
+        if n > len(up):
+            up, down = powers(base, n), powers(back, n)
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(BYTE[data[begin:begin + n]] * up[:n], out=total[1:])
+        s, e = starts[at:to] - begin, ends[at:to] - begin
+        out[at:to] = (total[e] - total[s]) * down[np.minimum(s, len(down) - 1)]
+        at = to
+    return mix(out)
+
+
+def text_digests(texts: pa.Array, base: int = BASE) -> np.ndarray:
+    """A digest of each whole string, case kept."""
+    data, offsets = raw(texts)
+    return span_digests(data, offsets[:-1], offsets[1:], base)
 
 
 def digest_of(words: Iterable[str], kind: str = "alnum") -> np.ndarray:
