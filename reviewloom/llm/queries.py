@@ -11,6 +11,7 @@ from reviewloom.llm.decontam import contamination
 from reviewloom.llm.jaccard import near_duplicates
 from reviewloom.llm.mixing import mix_sizes
 from reviewloom.llm.token_counts import token_counts
+from reviewloom.llm.topk import top_products
 from reviewloom.llm.urls import hosts_with_words, rule_table, url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +166,15 @@ SELECT doc_id, size, source_size, target, CAST(whole * size + greatest(0, least(
 """)
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sizes(read(spark, sf, "documents"))
+
+
+@query("op4_top_products", """
+WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(1024e0 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+""")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return top_products(read(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
