@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reviewloom.llm.chat import flat, preference_examples, with_other_replies
 from reviewloom.llm.decontam import contamination
 from reviewloom.llm.jaccard import near_duplicates
+from reviewloom.llm.licenses import license_labels
 from reviewloom.llm.mixing import mix_sizes
 from reviewloom.llm.token_counts import token_counts
 from reviewloom.llm.topk import top_products
@@ -178,3 +179,8 @@ FROM s QUALIFY rank <= 10
 """)
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return top_products(read(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op5_license_scan")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return license_labels(read(spark, sf, "documents")).drop("spans")
