@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reviewloom.llm.chat import flat, preference_examples, with_other_replies
 from reviewloom.llm.decontam import contamination
 from reviewloom.llm.jaccard import near_duplicates
+from reviewloom.llm.langid import language_table
 from reviewloom.llm.licenses import license_labels
 from reviewloom.llm.mixing import mix_sizes
 from reviewloom.llm.token_counts import token_counts
@@ -184,3 +185,8 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_license_scan")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return license_labels(read(spark, sf, "documents")).drop("spans")
+
+
+@query("op3_language_centroids")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return language_table(read(spark, sf, "documents"))
