@@ -35,12 +35,14 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.window import Window
+from pyspark.sql import DataFrame, functions as F
 
 from reviewloom.llm.components import components, runs
-from reviewloom.llm.words import Words, mix, pieces
+from reviewloom.llm.shipping import ship
+from reviewloom.llm.urls import OTHER_BASE, filled
+from reviewloom.llm.words import Words, mix, pieces, text_digests
 from reviewloom.session import cut_lineage
 
 #: words of a shingle, and the least similarity in hundredths
@@ -50,6 +52,9 @@ COST_SUBSET, COST_ENTRY, COST_SET = 1.0, 0.3, 8.0
 #: list entries of one owner, and sets of a block
 OWNED, BLOCK = 2_000_000, 384
 
+#: bits of the filter of ids that one_of_each broadcasts (8 MB)
+MAYBE_BITS = 1 << 26
+
 MANY = 0xFFFF  # stands for "several documents of the piece"
 
 
@@ -404,11 +409,28 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", **options) -> DataFrame:
-    """The documents with the smallest id of each class, each once; all columns, rows without an id stay."""
-    classes = near_duplicates(docs, id=id, **options)
+    """The documents with the smallest id of each class, each id once; all columns, rows without an id stay.
+
+    Ids that are dropped or repeat fill a Bloom filter of at most MAYBE_BITS; documents that fail it stay without a
+    shuffle, the others (with those it takes in wrongly) are joined with the exact list.
+    """
+    spark = docs.sparkSession
+    classes = cut_lineage(near_duplicates(docs, id=id, **options).where(F.col(id).isNotNull()), "classes")
     dropped = classes.where(F.col(id) != F.col("component_id")).select(F.col(id).alias("_gone")).distinct()
-    left = docs.join(dropped, docs[id] == F.col("_gone"), "left_anti")
-    spread = F.when(F.col(f"`{id}`").isNull(), F.monotonically_increasing_id())
-    order = [F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")]
-    ranked = left.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), spread.alias("spread"), F.col(f"`{id}`").alias("key"), F.hash(*order).alias("order"))
-    return ranked.withColumn("at", F.row_number().over(Window.partitionBy("key", "spread").orderBy("order"))).where("at = 1").select("row.*")
+    repeated = classes.groupBy(F.col(id).alias("_gone")).count().where("count > 1").select("_gone")
+    keys = cut_lineage(dropped.unionByName(repeated).distinct().select(F.col("_gone").cast("string").alias("key")), "special")
+    load = ship(spark, filled(keys, keys.count(), 0.01, 7, MAYBE_BITS))
+
+    @F.pandas_udf("boolean")
+    def maybe(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = load()
+        for values in ids:
+            col = pa.array(values, pa.string())
+            yield pd.Series(own.has(text_digests(col), text_digests(col, OTHER_BASE)).astype(bool) & values.notna().to_numpy())
+
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole.alias("row"), F.col(f"`{id}`").alias("key"), maybe.asNondeterministic()(F.col(f"`{id}`").cast("string")).alias("maybe"))
+    sure = rows.where("not maybe").select("row")
+    order = F.hash(*[F.col(f"row.`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")])
+    rest = rows.where("maybe").join(dropped, F.col("key") == F.col("_gone"), "left_anti").withColumn("order", order)
+    return sure.unionByName(rest.groupBy("key").agg(F.min_by("row", "order").alias("row")).select("row")).select("row.*")

@@ -12,10 +12,14 @@ from reviewloom.llm.jaccard import near_duplicates
 from reviewloom.llm.langid import language_table
 from reviewloom.llm.licenses import license_labels
 from reviewloom.llm.mixing import mix_sizes
+from reviewloom.llm.pii import surrogate_texts
 from reviewloom.llm.token_counts import token_counts
 from reviewloom.llm.topk import top_products
 from reviewloom.llm.urls import hosts_with_words, rule_table, url_verdicts
 
+#: of the registered queries; real use passes a secret key
+SURROGATE_KEY = "registered query"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -190,3 +194,8 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 @query("op3_language_centroids")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     return language_table(read(spark, sf, "documents"))
+
+
+@query("op10_surrogates")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return surrogate_texts(read(spark, sf, "documents"), SURROGATE_KEY)

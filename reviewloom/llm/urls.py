@@ -40,8 +40,8 @@ OTHER_BASE = 0xD1342543DE82EF95
 
 
 class Filter:
-    def __init__(self, count: int, rate: float, seed: int):
-        self.size = max(64, ceil(-count * log(rate) / log(2) ** 2))
+    def __init__(self, count: int, rate: float, seed: int, most_bits: int | None = None):
+        self.size = min(max(64, ceil(-count * log(rate) / log(2) ** 2)), most_bits or 1 << 62)
         self.hashes = max(1, round(-log(rate) / log(2)))
         self.seed = np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64)
         self.bits = np.zeros(ceil(self.size / 64), np.uint64)
@@ -72,12 +72,12 @@ class Cascade:
         return out
 
 
-def _filled(keys: DataFrame, count: int, rate: float, seed: int) -> Filter:
+def filled(keys: DataFrame, count: int, rate: float, seed: int, most_bits: int | None = None) -> Filter:
     """A filter of all keys; tasks send the words of 64 bits that they set, Spark joins them."""
-    out = Filter(count, rate, seed)
+    out = Filter(count, rate, seed, most_bits)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        empty = Filter(count, rate, seed)
+        empty = Filter(count, rate, seed, most_bits)
         for batch in batches:
             col = batch.column(0)
             at = np.unique(empty.places(text_digests(col), text_digests(col, OTHER_BASE)))
@@ -111,7 +111,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
         count = side.count()
         if not count:
             return cascade
-        cascade.levels.append(_filled(side, count, LATER if number else FIRST, number))
+        cascade.levels.append(filled(side, count, LATER if number else FIRST, number))
         passed = _passing(sides[(number + 1) % 2], cascade.levels[-1])
         if number == 0:
             passed = passed.distinct().join(listed, "key", "left_anti")
