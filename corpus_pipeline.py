@@ -6,7 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+from reviewloom.llm import decontam, jaccard, langid, mixing, pii
+from reviewloom.llm.queries import SURROGATE_KEY
+from reviewloom.session import cut_lineage
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known; rejected ones go."""
+    return langid.keep_known(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates (five words, similarity 0.8 or more)."""
+    return jaccard.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by surrogates."""
+    return pii.without_personal_data(docs, SURROGATE_KEY)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row for each epoch that a document is in, with mix_epoch and mix_words."""
+    return mixing.mixture(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language ID", language_id), ("n-gram Jaccard join", near_duplicates), ("benchmark decontamination", decontamination),
+    ("PII surrogates", personal_data), ("mixing sources", mix),
+]
 
 #: SQL can't express the stages; tests/llm holds them against brute force.
 ORACLE_SQL = None
@@ -14,8 +47,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents of sf_dir after all stages. Each stage's rows are written to the shared folder and read again."""
-    from reviewloom.session import cut_lineage
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = cut_lineage(stage(spark, docs, sf_dir), name.replace(" ", "-"))
