@@ -118,7 +118,7 @@ def top_products(
     candidates = rows.select("vec_id", "v", F.pmod(place, F.lit(slices)).cast("int").alias("slice"))
     key = F.xxhash64("vec_id", "v")
     queries = rows.where("asks").select("vec_id", "v").distinct().select("vec_id", "v", key.alias("key"), F.pmod(key, F.lit(blocks)).cast("int").alias("block"))
-    queries = queries.withColumn("floor", F.lit(None).cast("long"))
+    queries = cut_lineage(queries.withColumn("floor", F.lit(None).cast("long")), "queries")
     best = Window.partitionBy("key").orderBy(F.col("score").desc(), "vec_id")
     if slices > 1:
         pilot = _scan(queries, candidates.where("slice = 0"), k, blocks, 1, width)
