@@ -30,10 +30,12 @@ from pyspark.sql.window import Window
 
 from reviewloom.llm.shipping import ship
 from reviewloom.llm.words import mix, pieces
+from reviewloom.session import cut_lineage
 
 PER_LANGUAGE, CENTROIDS, WIDTH = 500, 4, 8192
 #: a text is rejected below SHARE of the QUANTILE of the cosines of sample texts of its length
 SHARE, QUANTILE = 0.5, 0.005
+BROADCAST_IDS = 200_000
 ROWS = 256  # texts of one dense matrix
 
 
@@ -143,8 +145,11 @@ def sample(docs: DataFrame, train: Column, text: str, label: str, id: str, per_l
     slim = docs.where(train & F.col(label).isNotNull() & F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(label).alias("label"))
     order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     ids = slim.distinct().withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_language).drop("at")
+    ids = cut_lineage(ids, "sample-ids")
+    if ids.count() <= BROADCAST_IDS:  # languages x per_language; else Spark chooses the join
+        ids = F.broadcast(ids)
     texts = docs.select(F.col(id).alias("id"), F.col(label).alias("label"), F.col(text).alias("text")).where("text is not null")
-    return texts.join(ids, ["id", "label"])
+    return cut_lineage(texts.join(ids, ["id", "label"]), "sample")
 
 
 def train(
