@@ -1,9 +1,9 @@
 """Row positions inside a key, without sorting a hot key in one task.
 
-A plain `row_number` window sends every row of a key to one task. Here a key with more than
-`hot_rows` rows is cut into order-preserving pieces (by day, then by the first characters of the
-id); rows are numbered inside a piece and shifted by the number of rows in earlier pieces. The
-result is the same number for every row, whichever way its key was handled.
+A plain `row_number` window sends every row of a key to one task. Here rows are range-partitioned by key and
+order with sampled bounds, so that a partition holds a stretch of the order, of one key or of several; the
+partitions are written, rows are numbered inside (partition, key) and shifted by the number of the key's rows
+in earlier partitions. It is one plan whatever the ids look like and however many rows a key or a day has.
 """
 
 from __future__ import annotations
@@ -14,83 +14,39 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from reviewloom.session import cut_lineage
 
-HOT_ROWS = 1_000_000
-PREFIX = 2
-
 
 def as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys holding more than `hot_rows` rows. There are at most rows / hot_rows of them."""
-    return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
-
-
-def order_pieces(order: Sequence[str], string_id: bool) -> list[Column]:
-    """Expressions that grow with the order: its leading columns, then a coarse form of the id, the first
-    characters of a string or the number of 65,536 consecutive integers."""
-    last = order[-1]
-    coarse = F.substring(F.col(last), 1, PREFIX) if string_id else F.floor(F.col(last) / 65_536)
-    return [*[F.col(c) for c in order[:-1]], coarse]
-
-
-def positions(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    order: Sequence[str],
-    name: str = "n",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def positions(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], name: str = "n") -> DataFrame:
     """Adds the 1-based position of each row of a key in `order` (ascending, last column unique).
 
-    Hot keys are looked for first, by one aggregate over the key columns. Without any, one window by key
-    is enough. Otherwise rows are shuffled once, by key and piece, and only counts of hot keys besides.
+    Runs a job when called, which writes the partitions. Offsets are counts per partition and key: at most one
+    row per key and one more per partition.
     """
     keys, order = as_list(keys), as_list(order)
-    # rows / hot_rows keys at most, so this table stays small at any size of df
-    hot = cut_lineage(hot_keys(df, keys, hot_rows), "hot-keys")
-    if hot.isEmpty():
-        inside = W.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(inside).cast("long"))
-    pieces = order_pieces(order, dict(df.dtypes)[order[-1]] == "string")
-    cols = [f"_p{i}" for i in range(len(pieces))]
-    tagged = df.join(F.broadcast(hot), keys, "left").select(
-        *df.columns, *[F.when(F.col("_hot"), p).alias(c) for p, c in zip(pieces, cols)], "_hot"
-    )
-    sizes = tagged.filter("_hot").groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("_size"))
-    before = W.partitionBy(*keys).orderBy(*cols).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, *cols, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    inside = W.partitionBy(*keys, *cols).orderBy(*order)
-    return (
-        tagged.withColumn("_rn", F.row_number().over(inside))
-        .join(offsets, [*keys, *cols], "left")
-        .select(*df.columns, (F.col("_rn") + F.coalesce("_offset", F.lit(0))).cast("long").alias(name))
+    parted = cut_lineage(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = parted.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    same = [f"_k{i}" for i in range(len(keys))]
+    offsets = sizes.select(
+        *[F.col(k).alias(s) for k, s in zip(keys, same)], F.col("_part").alias("_at"),
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
     )
+    numbered = parted.withColumn("_rn", F.row_number().over(W.partitionBy(*keys, "_part").orderBy(*order)))
+    met = F.col("_part") == F.col("_at")
+    for k, s in zip(keys, same):
+        met = met & F.col(k).eqNullSafe(F.col(s))  # null is a key like any other
+    return numbered.join(offsets, met).select(*df.columns, (F.col("_rn") + F.col("_offset")).cast("long").alias(name))
 
 
-def global_positions(df: DataFrame, order: str, name: str = "n", piece: Column | None = None) -> DataFrame:
+def global_positions(df: DataFrame, order: str, name: str = "n") -> DataFrame:
     """Adds the 1-based position of each row in the order of one unique column over the whole table.
 
-    `piece` must grow with the column; by default 65,536 consecutive numbers or the first
-    characters of a string share a piece. Only the counts per piece meet in one window.
+    As `positions` with one key; the offsets are one row per partition.
     """
-    if piece is None:
-        text = dict(df.dtypes)[order] == "string"
-        piece = F.substring(order, 1, PREFIX) if text else F.floor(F.col(order) / 65536)
-    tagged = df.withColumn("_piece", piece)
-    sizes = tagged.groupBy("_piece").agg(F.count(F.lit(1)).alias("_size"))
-    before = W.orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("_piece", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    return (
-        tagged.withColumn("_rn", F.row_number().over(W.partitionBy("_piece").orderBy(order)))
-        .join(offsets, "_piece")
-        .select(*df.columns, (F.col("_rn") + F.col("_offset")).cast("long").alias(name))
-    )
+    return positions(df.withColumn("_all", F.lit(0)), "_all", [order], name).drop("_all")
 
 
 def number_values(df: DataFrame, col: str, name: str, buckets: int = 65_536) -> DataFrame:

@@ -25,10 +25,9 @@ def frame(reviews):
     return reviews.toPandas().sort_values(["business_id", "date", "review_id"]).reset_index(drop=True)
 
 
-@pytest.mark.parametrize("hot_rows", [50, 10**6])
-def test_positions_do_not_depend_on_the_cut(reviews, hot_rows):
+def test_positions_of_a_hot_key(reviews):
     plain = F.row_number().over(W.partitionBy("business_id").orderBy("date", "review_id"))
-    got = positions(reviews, "business_id", ["date", "review_id"], hot_rows=hot_rows).withColumn("m", plain)
+    got = positions(reviews, "business_id", ["date", "review_id"]).withColumn("m", plain)
     assert got.count() == reviews.count()
     assert got.filter("n <> m").count() == 0
 
@@ -36,10 +35,26 @@ def test_positions_do_not_depend_on_the_cut(reviews, hot_rows):
 def test_positions_by_a_number(spark):
     df = spark.range(0, 400_000, 3).select((F.col("id") % 2).alias("k"), "id")
     plain = F.row_number().over(W.partitionBy("k").orderBy("id"))
-    got = positions(df, "k", ["id"], hot_rows=1000).withColumn("m", plain)
+    got = positions(df, "k", ["id"]).withColumn("m", plain)
     assert got.filter("n <> m").count() == 0
 
 
+@pytest.mark.parametrize("make", [lambda i: f"r-{i:06d}", lambda i: f"{i * 0x9E3779B97F4A7C15 % 2**64:020d}"], ids=["prefix", "random"])
+def test_positions_of_one_key_on_one_day(spark, make):
+    """Ids with one prefix, or random over 64 bits: several tasks share the key, and the numbers are right."""
+    rows = [("k", dt.date(2020, 1, 1), make(i)) for i in range(5000)] + [(None, dt.date(2020, 1, 1), make(i)) for i in range(7)]
+    df = spark.createDataFrame(rows, "k string, date date, id string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is far too small to be cut else
+    try:
+        got = positions(df, "k", ["date", "id"])
+        assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for key, n in (("k", 5000), (None, 7)):
+        mine = sorted((r.n, r.id) for r in got.collect() if r.k == key)
+        assert [a for a, _ in mine] == list(range(1, n + 1)) and [b for _, b in mine] == sorted(b for _, b in mine)
+
+
 def test_global_positions(reviews):
     got = global_positions(reviews.select("review_id"), "review_id").orderBy("n").collect()
     assert [r.n for r in got] == list(range(1, len(got) + 1))
@@ -51,11 +66,11 @@ def test_number_values_are_dense(reviews):
     assert sorted(got) == list(range(len(got)))
 
 
-@pytest.mark.parametrize("hot_rows, span", [(50, 28), (10**6, 28), (10**6, 5), (10**6, 500)])
-def test_ewm_equals_pandas(reviews, hot_rows, span):
+@pytest.mark.parametrize("span", [1, 5, 28, 500])
+def test_ewm_equals_pandas(reviews, span):
     pdf = frame(reviews)  # the hot key has more rows than a block
     want = pdf.groupby("business_id").stars.apply(lambda s: s.ewm(span=span).mean()).to_numpy()
-    got = series.ewm_mean(reviews, "business_id", ["date", "review_id"], "stars", span, hot_rows=hot_rows).toPandas()
+    got = series.ewm_mean(reviews, "business_id", ["date", "review_id"], "stars", span).toPandas()
     got = got.sort_values(["business_id", "date", "review_id"]).moving_avg.to_numpy()
     assert abs(want - got).max() < 1e-12
 
@@ -73,11 +88,10 @@ def test_rating_trend_equals_pandas(reviews):
         assert abs(mine.avg_rating.to_numpy() - want.to_numpy()).max() < 1e-12
 
 
-@pytest.mark.parametrize("hot_rows", [50, 10**6])
-def test_rolling_mean_equals_pandas(reviews, hot_rows):
+def test_rolling_mean_equals_pandas(reviews):
     pdf = frame(reviews)
     want = pdf.groupby("business_id").stars.apply(lambda s: s.rolling(7).mean()).to_numpy()
-    got = series.rolling_mean(reviews, hot_rows=hot_rows).toPandas()
+    got = series.rolling_mean(reviews).toPandas()
     assert len(got) == len(pdf)
     got = got.sort_values(["business_id", "date", "review_id"]).rolling_mean.to_numpy(dtype=float)
     assert (pd.isna(want) == pd.isna(got)).all()
