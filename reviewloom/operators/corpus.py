@@ -67,7 +67,7 @@ def drop_sparse(dtm: DataFrame, docs: DataFrame, sparsity: float, part_rows: int
         .filter(F.col("_df") > F.col("_docs") * share).select("part", "term")
     )
     dense = placed.join(kept, ["part", "term"]).select(*placed.columns)
-    return dense.join(terms_in_all_parts(kept, "part"), "term", "left_semi") if in_all_parts else dense
+    return dense.join(terms_in_all_parts(kept, "part", parts=sizes), "term", "left_semi") if in_all_parts else dense
 
 
 def bigram_dtm(review: DataFrame, sparsity: float | None = 0.98, doc: str = "review_id", text: str = "text",

@@ -104,9 +104,10 @@ def union_parts(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def terms_in_all_parts(dtm: DataFrame, part: str, term: str = "term") -> DataFrame:
-    """Terms that occur in every part."""
-    parts = dtm.agg(F.countDistinct(part)).scalar()
+def terms_in_all_parts(dtm: DataFrame, part: str, term: str = "term", parts: DataFrame | None = None) -> DataFrame:
+    """Terms that occur in every part. `parts` has a row of each part, those without any term too; without it the
+    parts of the matrix count."""
+    parts = (dtm if parts is None else parts).agg(F.countDistinct(part)).scalar()
     return dtm.groupBy(term).agg(F.countDistinct(part).alias("_parts")).filter(F.col("_parts") == parts).select(term)
 
 

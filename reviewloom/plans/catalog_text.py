@@ -137,12 +137,12 @@ m AS (SELECT review_id, business_id, stars, regexp_replace(regexp_replace(lower(
  '([\\p{{L}}\\p{{M}}\\p{{N}}_]+)', chr(1) || '\\1' || chr(2), 'g') AS t FROM v_text_review),
 cl AS (SELECT review_id, business_id, stars, trim(regexp_replace(regexp_replace(regexp_replace(t, '{_MARKED}', '', 'g'),
  '[[:punct:]\\x01\\x02]+', '', 'g'), '\\s+', ' ', 'g'), ' ') AS clean FROM m),
-tk AS (SELECT review_id, business_id, stars, list_filter(string_split(clean, ' '), lambda w: w <> '') AS tokens FROM cl)"""
+tk AS MATERIALIZED (SELECT review_id, business_id, stars, list_filter(string_split(clean, ' '), lambda w: w <> '') AS tokens FROM cl)"""
 _DTM = _CLEAN + """,
-dtm AS (SELECT review_id, term, count(*) AS n FROM (SELECT review_id, unnest(tokens) AS term FROM tk) WHERE length(term) >= 3 GROUP BY 1, 2)"""
+dtm AS MATERIALIZED (SELECT review_id, term, count(*) AS n FROM (SELECT review_id, unnest(tokens) AS term FROM tk) WHERE length(term) >= 3 GROUP BY 1, 2)"""
 _BIGRAMS = _CLEAN + """,
-bg AS (SELECT review_id, business_id, list_transform(list_zip(tokens[:-2], tokens[2:]), lambda p: p[1] || ' ' || p[2]) AS grams FROM tk WHERE len(tokens) >= 2),
-dtm AS (SELECT review_id, any_value(business_id) AS business_id, term, count(*) AS n FROM (SELECT review_id, business_id, unnest(grams) AS term FROM bg) WHERE length(term) >= 3 GROUP BY review_id, term)"""
+bg AS MATERIALIZED (SELECT review_id, business_id, list_transform(list_zip(tokens[:-2], tokens[2:]), lambda p: p[1] || ' ' || p[2]) AS grams FROM tk WHERE len(tokens) >= 2),
+dtm AS MATERIALIZED (SELECT review_id, any_value(business_id) AS business_id, term, count(*) AS n FROM (SELECT review_id, business_id, unnest(grams) AS term FROM bg) WHERE length(term) >= 3 GROUP BY review_id, term)"""
 
 
 def _clean(spark, sf, stem=False):
@@ -197,7 +197,7 @@ def _(spark, sf):
     return sparse.select("review_id", "part", "term", "n")
 
 
-@query("t9_terms_of_all_parts", "WITH " + _PARTS + """, al AS (SELECT term FROM kp GROUP BY 1 HAVING count(*) = (SELECT count(DISTINCT part) FROM kp))
+@query("t9_terms_of_all_parts", "WITH " + _PARTS + """, al AS (SELECT term FROM kp GROUP BY 1 HAVING count(*) = (SELECT count(DISTINCT part) FROM sz))
 SELECT review_id, part, term, n FROM dtm JOIN pt USING (review_id) JOIN kp USING (part, term) WHERE term IN (SELECT term FROM al)""")
 def _(spark, sf):
     sparse = T.drop_sparse(_dtm(spark, sf), V.text_review(spark, sf), 0.95, part_rows=250, in_all_parts=True)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -29,12 +32,22 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only a session without one (tests) gets a local folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="reviewloom-")
-    return folder
+    """The folder named by spark.checkpoint.dir, which all executors must reach.
+
+    Only a local session without one (tests) gets a folder of its own, deleted when Python ends.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _local:
+        _local.append(tempfile.mkdtemp(prefix="reviewloom-"))
+        atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
+    return _local[0]
+
+
+_local: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

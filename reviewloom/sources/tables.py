@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 _string = T.StringType()
@@ -38,16 +40,24 @@ SCHEMAS: dict[str, T.StructType] = {
     "photo": T.StructType([T.StructField("business_id", _string), T.StructField("photo_id", _string)]),
 }
 
-_opened: dict[tuple[str, str], DataFrame] = {}
+_opened: WeakKeyDictionary[SparkSession, dict[tuple, DataFrame]] = WeakKeyDictionary()
 
 
 def open_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet table; the handle (the plan, not the data) is kept per application and path."""
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _opened:
+    """Parquet table; the handle (the plan, not the data) is kept per session, path and schema until `forget`."""
+    known = _opened.setdefault(spark, {})
+    key = (path, schema and schema.json())
+    if key not in known:
         reader = spark.read.schema(schema) if schema is not None else spark.read
-        _opened[key] = reader.parquet(path)
-    return _opened[key]
+        known[key] = reader.parquet(path)
+    return known[key]
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Drops the handles of a folder that was written anew."""
+    known = _opened.get(spark, {})
+    for key in [k for k in known if k[0] == path]:
+        del known[key]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,18 +87,9 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_text_dir(spark: SparkSession, path: str) -> DataFrame:
-    """(file_name, text), one row per file below `path`."""
+    """(file_name, text), one row per file below `path`; the name is the path, so that equal names in two folders
+    stay two files."""
     return (
         spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-        .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
+        .select(F.col("_metadata.file_path").alias("file_name"), F.col("value").alias("text"))
     )
-
-
-def spread_small(df: DataFrame, bytes_per_task: int = 128 << 20) -> DataFrame:
-    """Rows of a table of few small files spread over all cores, for costly work per row.
-
-    A table with enough bytes for every core comes back as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * bytes_per_task else df

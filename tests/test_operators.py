@@ -139,17 +139,20 @@ def test_overlap_equals_plain_self_join(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, naive.collect()))
 
 
-@pytest.mark.parametrize("users, hot_reviews, n", [(40, 200, 15), (40, 20, 4), (4, 20, 1)])
-def test_hot_users_do_not_change_the_overlap(spark, users, hot_reviews, n):
+@pytest.mark.parametrize("users, names, n", [(40, 1000, 15), (40, 3, 4), (4, 2, 1)])
+def test_slices_of_hot_users_do_not_change_the_overlap(spark, monkeypatch, users, names, n):
     rng = random.Random(users + n)
     rows = [(0 if i % 3 == 0 else rng.randrange(1, users), rng.randrange(60), rng.randrange(1, 6)) for i in range(900)]
     review = spark.createDataFrame(rows, "user_id int, business_id int, stars int")
     business = spark.createDataFrame([(i, f"name{i % 23:02d}") for i in range(60)], "business_id int, name string")
-    plain = top_overlap(overlap_counts(review, business), n)
-    got = customer_overlap(review, business, n, hot_reviews=hot_reviews)
+    monkeypatch.setattr("reviewloom.operators.overlap.SLICE", 10**6)
+    plain = top_overlap(overlap_counts(review, business), n).cache()
+    plain.count()
+    monkeypatch.setattr("reviewloom.operators.overlap.SLICE", names)
+    got = customer_overlap(review, business, n)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
     some = spark.createDataFrame([(3,), (7,)], "business_id int")
-    got = customer_overlap(review, business, n, ids=some, hot_reviews=hot_reviews)
+    got = customer_overlap(review, business, n, ids=some)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.filter("business_id in (3, 7)").collect()))
 
 
@@ -214,3 +217,55 @@ def test_tfidf_rows_have_length_one(spark):
     for variant in ("log2", "smooth"):
         got = T.tfidf(dtm, variant, "d").groupBy("d").agg(F.sum(F.col("weight") ** 2).alias("s")).collect()
         assert len(got) == 3 and all(r.s == pytest.approx(1.0) for r in got)
+
+
+def test_a_part_without_terms_counts(spark):
+    """A term is in all parts only if no part lacks it, also where a part keeps no term at all."""
+    from reviewloom.operators.corpus import drop_sparse
+
+    docs = spark.createDataFrame([(i,) for i in range(4)], "review_id int")
+    dtm = spark.createDataFrame([(0, "a", 1), (1, "a", 1)], "review_id int, term string, n int")
+    assert drop_sparse(dtm, docs, 0.5, part_rows=2).count() == 2
+    assert drop_sparse(dtm, docs, 0.5, part_rows=2, in_all_parts=True).count() == 0
+
+
+def test_every_rated_user_gets_recommendations(spark):
+    from reviewloom.operators.recommend import fit_recommender, recommend
+
+    rng = random.Random(3)
+    rows = [(u, b, rng.randint(1, 5)) for u in range(40) for b in rng.sample(range(12), 2)]
+    review = spark.createDataFrame(rows, "user_id int, business_id int, stars int")
+    got = recommend(review, n=3, rank=2, max_iter=2)
+    assert {(r.user_id, r["rank"]) for r in got.collect()} == {(u, k) for u in range(40) for k in (1, 2, 3)}
+    lone = spark.createDataFrame([(1, 1, 5)], review.schema)
+    assert fit_recommender(lone, rank=2, max_iter=1).rmse is None
+
+
+def test_handles_and_files_are_told_apart(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from reviewloom.sources.tables import forget, open_table, read_text_dir
+
+    path = f"{tmp_path}/t.parquet"
+    for n in (3, 5):
+        spark.range(n).write.mode("overwrite").parquet(path)
+        forget(spark, path)
+        assert open_table(spark, path).count() == n
+    assert open_table(spark.newSession(), path).sparkSession is not spark
+    assert open_table(spark, path, T.StructType([T.StructField("other", T.LongType())])).columns == ["other"]
+    for folder in ("x/a", "x/b"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "same.txt").write_text(folder)
+    assert read_text_dir(spark, f"{tmp_path}/x").select("file_name").distinct().count() == 2
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    from unittest.mock import MagicMock
+
+    from reviewloom.session import shared_dir
+
+    far = MagicMock()
+    far.conf.get.side_effect = lambda key, default=None: {"spark.master": "yarn"}.get(key, default)
+    far.sparkContext.getCheckpointDir.return_value = None
+    with pytest.raises(ValueError):
+        shared_dir(far)
