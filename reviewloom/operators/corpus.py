@@ -12,7 +12,7 @@ from reviewloom.functions.words import CORPUS_STOP_WORDS, STOP_BIGRAMS, STOP_WOR
 from reviewloom.operators.aggregates import business_stats, doc_freq, doc_freq_by, term_totals
 from reviewloom.operators.cohorts import top_n_ties
 from reviewloom.operators.filters import drop_terms, for_business, terms_in_all_parts
-from reviewloom.operators.joins import bind_meta, left_stats
+from reviewloom.operators.joins import bind_meta, left_stats, spread_join
 from reviewloom.operators.ordering import global_positions
 from reviewloom.operators.ranking import top_words_limit
 
@@ -90,11 +90,12 @@ def business_bigrams(freq: DataFrame, business_id, n: int = 30, key: str = "busi
     return top_words_limit(for_business(freq, business_id, key), key, n, "num", "term")
 
 
-def prune_vocab(dtm: DataFrame, docs: DataFrame, min_df: int = 20, max_share: float = 0.1, keep: int = 100_000) -> DataFrame:
-    """Terms in at least `min_df` and at most `max_share` of the documents, the `keep` most common of them."""
+def prune_vocab(dtm: DataFrame, docs: DataFrame, min_df: int = 20, max_share: float = 0.1,
+                keep: int | None = 100_000) -> DataFrame:
+    """Terms in at least `min_df` and at most `max_share` of the documents, the `keep` most common of them (None: all)."""
     total = docs.agg(F.count(F.lit(1))).scalar()
     terms = doc_freq(dtm).filter((F.col("num") >= min_df) & (F.col("num") <= total * max_share))
-    return terms.orderBy(F.desc("num"), "term").limit(keep)  # at most `keep` rows
+    return terms if keep is None else terms.orderBy(F.desc("num"), "term").limit(keep)  # at most `keep` rows
 
 
 def bow_by_business(dtm: DataFrame, key: str = "business_id", vocab: DataFrame | None = None) -> DataFrame:
@@ -103,7 +104,7 @@ def bow_by_business(dtm: DataFrame, key: str = "business_id", vocab: DataFrame |
     Counts are added per business; the tokens of a business never meet in one row.
     """
     if vocab is not None:
-        dtm = dtm.join(vocab.select("term"), "term")
+        dtm = spread_join(dtm, vocab.select("term"), "term", [c for c in dtm.columns if c not in ("term", "n")][0])
     return dtm.groupBy(key, "term").agg(F.sum("n").alias("n"))
 
 
@@ -121,7 +122,7 @@ def tfidf(dtm: DataFrame, variant: str = "log2", doc: str = "review_id") -> Data
         idf = F.log((1 + total) / (1 + F.col("num"))) + 1
     else:
         raise ValueError(f"unknown variant {variant!r}")
-    weighted = dtm.join(df.select("term", idf.alias("_idf")), "term").select(
+    weighted = spread_join(dtm, df.select("term", idf.alias("_idf")), "term", doc).select(
         doc, "term", (F.col("n") * F.col("_idf")).alias("_w")
     ).filter(F.col("_w") != 0)
     # a window holds the distinct terms of one document
@@ -144,11 +145,12 @@ def stemmed_tfidf(texts: DataFrame, doc: str = "file_name", text: str = "text",
     return tfidf(merged, "smooth", doc)
 
 
-def prune_bigrams(dtm: DataFrame, min_total: int = 300, stop: Sequence[str] = STOP_BIGRAMS) -> DataFrame:
+def prune_bigrams(dtm: DataFrame, min_total: int = 300, stop: Sequence[str] = STOP_BIGRAMS,
+                  doc: str = "review_id") -> DataFrame:
     """Bigrams with a column total of at least `min_total` that are no stop bigrams.
 
     Documents without any kept bigram have no row left.
     """
     kept = term_totals(drop_terms(dtm, stop), min_total).select("term")
-    return dtm.join(kept, "term").select(*dtm.columns)
+    return spread_join(dtm, kept, "term", doc).select(*dtm.columns)
 

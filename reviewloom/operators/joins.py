@@ -36,12 +36,26 @@ def lookup_total(business: DataFrame, totals: DataFrame, key: str = "business_id
     return left_totals(business, renamed, key).withColumn(name, F.coalesce(name, F.lit(0)))
 
 
-def co_reviews(review: DataFrame, user: str = "user_id", key: str = "business_id") -> DataFrame:
+def co_reviews(review: DataFrame, user: str = "user_id", key: str = "business_id",
+               ids: DataFrame | None = None) -> DataFrame:
     """(business, other business, user, n, other_n): each pair of businesses a user reviewed, with the
-    user's number of reviews of either. n * other_n pairs of reviews stand behind a row."""
+    user's number of reviews of either. n * other_n pairs of reviews stand behind a row. With `ids` only the
+    pairs of those businesses are made."""
     counts = review.groupBy(user, key).agg(F.count(F.lit(1)).alias("n"))
+    focal = counts if ids is None else counts.join(ids.select(key), key, "left_semi")
     other = counts.select(F.col(user), F.col(key).alias(f"other_{key}"), F.col("n").alias("other_n"))
-    return counts.join(other, user).filter(F.col(key) != F.col(f"other_{key}"))
+    return focal.join(other, user).filter(F.col(key) != F.col(f"other_{key}"))
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, by: str, slices: int = 16) -> DataFrame:
+    """Inner join of many rows per key with a table of one row per key.
+
+    A key may hold much of `rows`. They are dealt over `slices` by a digest of `by`, and the short rows of the
+    table are repeated for each slice, so no task gets more than its share of a key.
+    """
+    dealt = rows.withColumn("_slice", F.pmod(F.xxhash64(by), F.lit(slices)).cast("int"))
+    repeated = table.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    return dealt.join(repeated, [key, "_slice"]).drop("_slice")
 
 
 def with_name(df: DataFrame, business: DataFrame, key: str = "business_id", name: str = "name") -> DataFrame:

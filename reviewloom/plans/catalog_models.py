@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from reviewloom.operators import corpus as T, recommend as M, reviewwords as R, topics as L
 from reviewloom.operators.checkins import total_checkins
 from reviewloom.plans import fixtures as V, report as O
+from reviewloom.plans.catalog_text import _BIGRAMS
 from reviewloom.plans.etl import restaurant_tables
 from reviewloom.plans.registry import query
 from reviewloom.session import cut_lineage
@@ -31,23 +32,53 @@ def _unigrams(spark, sf):
 
 @query("t18_t19_unigram_topics")
 def _(spark, sf):
-    fitted = L.fit_topics(_unigrams(spark, sf), 5, seeds=L.SEEDS[:2], iterations=10, subsample=0.2)
+    fitted = L.fit_topics(_unigrams(spark, sf), 5)
     return L.topic_terms(fitted, 6)
 
 
 @query("t18_t19_bigram_topics")
 def _(spark, sf):
-    fitted = L.fit_topics(_bigrams(spark, sf), 8, seeds=L.SEEDS[:2], iterations=10, subsample=0.2)
+    fitted = L.fit_topics(_bigrams(spark, sf), 8)
     return L.topic_terms(fitted, 10, wide=True)
 
 
 @query("t20_topic_probs")
 def _(spark, sf):
     dtm = _bigrams(spark, sf)
-    fitted = L.fit_topics(dtm, 8, seeds=L.SEEDS[:1], iterations=10, subsample=0.2)
+    fitted = L.fit_topics(dtm, 8)
     return L.topic_probs(fitted, dtm, V.text_review(spark, sf))
 
 
+_PLAIN_BIGRAMS = f"WITH {_BIGRAMS}, tt AS (SELECT term FROM dtm GROUP BY 1 HAVING sum(n) >= 10) "
+
+
+@query("t20_topic_probs_add_up", _PLAIN_BIGRAMS + """
+SELECT review_id, business_id, true AS adds_up, true AS topic_is_largest FROM v_text_review
+WHERE review_id IN (SELECT review_id FROM dtm WHERE term IN (SELECT term FROM tt))""")
+def _(spark, sf):
+    dtm = cut_lineage(T.prune_bigrams(T.bigram_dtm(V.text_review(spark, sf), sparsity=None, stem=False), 10, stop=[]), "bigrams")
+    probs = L.topic_probs(L.fit_topics(dtm, 8, seeds=L.SEEDS[:1]), dtm, V.text_review(spark, sf))
+    cols = [F.col(f"topic_{i + 1}_prob") for i in range(8)]
+    return probs.select(
+        "review_id", "business_id", (F.abs(sum(cols[1:], cols[0]) - 1) < 1e-6).alias("adds_up"),
+        (F.element_at(F.array(*cols), F.col("topic")) == F.greatest(*cols)).alias("topic_is_largest"),
+    )
+
+
+@query("t18_business_topics")
+def _(spark, sf):
+    dtm = cut_lineage(V.text_review(spark, sf).select("review_id", "business_id").join(_unigrams(spark, sf), "review_id"), "words")
+    bow = cut_lineage(T.bow_by_business(dtm), "business-words")
+    return L.topic_terms(L.fit_topics(bow, 5, seeds=L.SEEDS[:1], doc="business_id"), 6)
+
+
+@query("t22_ranks_of_all_users", """
+SELECT user_id, CAST(k.k AS INTEGER) AS rank FROM (SELECT DISTINCT user_id FROM v_review) u,
+ (SELECT unnest(range(1, 1 + least(10, (SELECT count(DISTINCT business_id) FROM v_review)))) AS k) k""")
+def _(spark, sf):
+    return M.recommend(V.review(spark, sf), 10).select("user_id", "rank")
+
+
 @query("t5_holdout_accuracy_model")
 def _(spark, sf):
     text = R.holdout_accuracy_model(V.text_review(spark, sf), "src3")

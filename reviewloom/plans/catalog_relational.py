@@ -271,6 +271,15 @@ def _(spark, sf):
     return pairs.groupBy("business_id", "other_business_id").agg(F.sum(F.col("n") * F.col("other_n")).alias("pairs"))
 
 
+@query("j6_co_reviews_of_some", """
+SELECT a.business_id, b.business_id AS other_business_id, count(*) AS pairs FROM v_review a
+JOIN v_review b ON a.user_id = b.user_id AND a.business_id <> b.business_id WHERE a.business_id % 7 = 3 GROUP BY 1, 2""")
+def _(spark, sf):
+    some = V.supplier_business(spark, sf).select("business_id").filter("business_id % 7 = 3")
+    pairs = J.co_reviews(V.review(spark, sf), ids=some)
+    return pairs.groupBy("business_id", "other_business_id").agg(F.sum(F.col("n") * F.col("other_n")).alias("pairs"))
+
+
 @query("j7_with_name", "SELECT review_id, business_id, name FROM v_review JOIN v_supplier_business USING (business_id)")
 def _(spark, sf):
     return J.with_name(V.review(spark, sf, users=False).select("review_id", "business_id"), V.supplier_business(spark, sf))

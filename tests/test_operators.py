@@ -269,3 +269,27 @@ def test_scratch_needs_a_shared_folder(spark):
     far.sparkContext.getCheckpointDir.return_value = None
     with pytest.raises(ValueError):
         shared_dir(far)
+
+
+def test_a_term_of_all_documents_is_spread(spark):
+    from reviewloom.operators.joins import spread_join
+
+    rows = spark.range(4000).selectExpr("id AS review_id", "'all' AS term", "1 AS n")
+    table = spark.createDataFrame([("all", 2.0), ("other", 1.0)], "term string, w double")
+    for name, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
+        spark.conf.set(name, value)
+    try:
+        met = spread_join(rows, table, "term", "review_id").withColumn("p", F.spark_partition_id())
+        assert met.count() == 4000 and met.select("p").distinct().count() > 1
+    finally:
+        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(name)
+
+
+def test_topics_refuse_to_drop_terms(spark):
+    from reviewloom.operators.topics import vocabulary
+
+    dtm = spark.createDataFrame([(1, "a", 2), (1, "b", 1)], "review_id int, term string, n int")
+    assert vocabulary(dtm) == ["a", "b"]
+    with pytest.raises(ValueError):
+        vocabulary(dtm, 1)
