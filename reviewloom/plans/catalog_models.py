@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from reviewloom.operators import corpus as T, recommend as M, reviewwords as R, topics as L
 from reviewloom.operators.checkins import total_checkins
 from reviewloom.plans import fixtures as V, report as O
 from reviewloom.plans.catalog_text import _BIGRAMS
-from reviewloom.plans.etl import restaurant_tables
+from reviewloom.plans.etl import restaurant_etl, restaurant_tables
 from reviewloom.plans.registry import query
-from reviewloom.session import cut_lineage
+from reviewloom.session import cut_lineage, scratch_path
+from reviewloom.sources.tables import load_table
 
 
 def r6(col):
@@ -128,6 +131,49 @@ def _(spark, sf):
     return restaurant_tables({"business": business})["business_category"]
 
 
+@query("o8_etl_from_json", """
+WITH r AS (SELECT business_id FROM v_business WHERE len(list_filter(categories, lambda c: contains(c, 'Restaurants'))) > 0),
+a AS (SELECT 'business_cleaned' AS name, business_id,
+  concat_ws('|', name, city, state, list_aggregate(categories, 'string_agg', ','), 'Brand_Name', state) AS value FROM v_business
+UNION ALL SELECT 'business_category', business_id, categories_value FROM v_business_category
+UNION ALL SELECT 'total_checkins', business_id, CAST(total_checkins AS VARCHAR) FROM v_total
+UNION ALL SELECT 'checkin', business_id, concat_ws('-', hour, day, n) FROM v_slot WHERE business_id IN (FROM r)
+UNION ALL SELECT 'tip', review_id + 1, md5(text) FROM v_text_review WHERE review_id + 1 IN (FROM r)
+UNION ALL SELECT 'photo', c_custkey, 'photo' || c_custkey FROM customer WHERE c_custkey IN (FROM r)
+UNION ALL SELECT 'review', business_id, concat_ws('|', review_id, stars, CAST(date AS VARCHAR), funny, useful, cool) FROM v_review_part WHERE business_id IN (FROM r))
+SELECT name, CAST(business_id AS VARCHAR) AS business_id, value FROM a
+UNION ALL SELECT 'business', CAST(business_id AS VARCHAR), value FROM a WHERE name = 'business_cleaned' AND business_id IN (FROM r)""")
+def _(spark, sf):
+    """Raw JSON files of all five tables, the ETL over them, and the contents of every table it wrote."""
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "restaurants")
+    key = F.col("business_id").cast("string").alias("business_id")
+    text, customer = V.text_review(spark, sf), V.raw(spark, sf, "customer")
+    brand = F.create_map(F.lit("Brand Name"), F.col("state"))
+    lines = {
+        "business": V.business(spark, sf).select(key, "name", "city", "state", "stars", "review_count", "categories", brand.alias("attributes")),
+        "checkin": V.checkin(spark, sf).select(key, "checkin_info"),
+        "tip": text.select((F.col("review_id") + 1).cast("string").alias("business_id"), "text"),
+        "review": V.review_part(spark, sf, users=False).select(
+            "review_id", key, "stars", F.col("date").cast("string").alias("date"), "votes"),
+    }
+    for name, df in lines.items():
+        df.write.json(f"{raw}/{name}.json")
+    photo = F.struct(F.col("c_custkey").cast("string").alias("business_id"), F.concat(F.lit("photo"), F.col("c_custkey").cast("string")).alias("photo_id"))
+    arrays = customer.groupBy(F.floor(F.col("c_custkey") / 1000)).agg(F.to_json(F.collect_list(photo)).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{raw}/photo.json")
+    restaurant_etl(spark, raw, out)
+    value = {
+        "business": F.concat_ws("|", "name", "city", "state", F.array_join("categories", ","), F.map_keys("attributes")[0], F.map_values("attributes")[0]),
+        "business_category": F.col("categories_value"), "total_checkins": F.col("total_checkins").cast("string"),
+        "checkin": F.explode(F.transform(F.map_entries("checkin_info"), lambda e: F.concat_ws("-", e["key"], e["value"].cast("string")))),
+        "tip": F.md5(F.col("text").cast("binary")), "photo": F.col("photo_id"),
+        "review": F.concat_ws("|", "review_id", F.col("stars").cast("string"), "date", *[F.col(f"votes.{v}").cast("string") for v in ("funny", "useful", "cool")]),
+    }
+    value["business_cleaned"] = value["business"]
+    parts = [load_table(spark, f"{out}/{n}.parquet").select(F.lit(n).alias("name"), key, v.alias("value")) for n, v in value.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def _tables(spark, sf):
     suppliers = V.supplier_business(spark, sf)
     stats = V.review(spark, sf, users=False).groupBy("business_id").agg(
