@@ -17,7 +17,8 @@ Heavy part, all exact:
 4. A group is cut by size (partners differ by a factor 100/percent at most) and then by hash into blocks of
    about BLOCK sets. Each pair of blocks that can hold links is one small task that counts all overlaps in a
    matrix product and returns only a spanning forest of the links.
-Components of these links are the classes. Shingles and sets are 64-bit digests.
+Components of these links are the classes. Shingles and sets are 64-bit digests, of which lists carry 48 bits: a chance
+collision of two shingles of a pair of texts needs some 10^14 / (words of one x words of the other) pairs.
 
 Defined results: null texts and texts without words have no shingles, no links and are their own class; with
 fewer words than `size` the whole sequence is one shingle; rows with the same id are one node with the links
@@ -55,6 +56,8 @@ OWNED, BLOCK = 2_000_000, 384
 #: bits of the filter of ids that one_of_each broadcasts (8 MB)
 MAYBE_BITS = 1 << 26
 
+#: lists know shingles by the upper 48 bits of their digests
+SHORT = np.uint64(16)
 MANY = 0xFFFF  # stands for "several documents of the piece"
 
 
@@ -119,6 +122,17 @@ def _batch(cells: dict, ids: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([ids if k == "id" else cells[k] for k in names], names)
 
 
+def _packed(h: np.ndarray) -> bytes:
+    """The upper 48 bits of digests that were shifted down by 16, six bytes each."""
+    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view(np.uint64)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -161,7 +175,7 @@ def list_entries(rows: DataFrame, size: int, percent: int, light: int, owners: i
         count = np.diff(np.append(begin, len(h)))
         known = np.repeat(count > 1, count)
         if known.any():
-            yield _batch(_cells(1, target=[home], kind=[1], chunk=[chunk], h=[h[known].tobytes()], i=[spot[known].tobytes()]), none)
+            yield _batch(_cells(1, target=[home], kind=[1], chunk=[chunk], h=[_packed(h[known] >> SHORT)], i=[spot[known].tobytes()]), none)
         sent, where = h[begin], np.where(count > 1, MANY, spot[begin]).astype(np.uint16)
         owner = ((sent >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)  # rises with the shingle
         cut = np.concatenate(([0], np.flatnonzero(owner[1:] != owner[:-1]) + 1, [len(owner)]))
@@ -169,7 +183,7 @@ def list_entries(rows: DataFrame, size: int, percent: int, light: int, owners: i
         yield _batch(
             _cells(
                 len(parts), target=owner[cut[:-1]].astype(np.int64), kind=np.zeros(len(parts), np.int64),
-                chunk=np.full(len(parts), chunk), h=[sent[a:b].tobytes() for a, b in parts],
+                chunk=np.full(len(parts), chunk), h=[_packed(sent[a:b] >> SHORT) for a, b in parts],
                 i=[where[a:b].tobytes() for a, b in parts],
                 c=[count[a:b][where[a:b] == MANY].astype(np.uint32).tobytes() for a, b in parts],
             ),
@@ -189,7 +203,7 @@ def scan_lists(entries: DataFrame) -> DataFrame:
             lists = table.filter(pa.array(kind == 0))
             if not len(lists):
                 continue
-            texts = [np.frombuffer(x, np.uint64) for x in lists.column("h").to_pylist()]
+            texts = [_unpacked(x) for x in lists.column("h").to_pylist()]
             spots = [np.frombuffer(x, np.uint16) for x in lists.column("i").to_pylist()]
             size = [len(x) for x in texts]
             h, spot = np.concatenate(texts), np.concatenate(spots)
@@ -207,7 +221,7 @@ def scan_lists(entries: DataFrame) -> DataFrame:
             for chunk, a, b in zip(chunks, cut[:-1].tolist(), cut[1:].tolist()):
                 keep = shared[a:b]
                 if keep.any():
-                    out.append((chunk, h[a:b][keep].tobytes(), spot[a:b][keep].tobytes(), df[a:b][keep].tobytes()))
+                    out.append((chunk, _packed(h[a:b][keep]), spot[a:b][keep].tobytes(), df[a:b][keep].tobytes()))
             if out:
                 chunk, hs, spots, dfs = zip(*out)
                 cells = _cells(len(out), kind=np.zeros(len(out), np.int64), chunk=chunk, h=hs, i=spots, c=dfs)
@@ -226,7 +240,7 @@ def settle(replies: DataFrame, percent: int, light: int) -> DataFrame:
             docs = part[2]
             if not len(docs):
                 continue
-            read = lambda k, c, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(x, t) for x in part[k].column(c).to_pylist())])
+            read = lambda k, c, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(x, t) if t != np.uint64 else _unpacked(x) for x in part[k].column(c).to_pylist())])
             h, spot, df = read(0, "h", np.uint64), read(0, "i", np.uint16), read(0, "c", np.uint32)
             inside, inside_spot = read(1, "h", np.uint64), read(1, "i", np.uint16)
             several = spot == MANY
@@ -247,7 +261,7 @@ def settle(replies: DataFrame, percent: int, light: int) -> DataFrame:
             took = n - -(-percent * n // 100) + 1 - (n - shared)  # rarest shared shingles of the prefix
             items, prefix = [], []
             for small, a, b, k, whole, ok in zip(docs.column("h").to_pylist(), begin.tolist(), end.tolist(), took.tolist(), alive.tolist(), heavy.tolist()):
-                items.append(np.sort(h[a:b]).tobytes() if whole else small)
+                items.append(_packed(np.sort(h[a:b])) if whole else small)
                 prefix.append(_signed(h[a:a + k]) if ok else None)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -291,7 +305,7 @@ def light_links(sets: DataFrame, light: int, percent: int) -> DataFrame:
     return keys.join(stars, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
 
 
-def heavy_links(sets: DataFrame, percent: int) -> DataFrame:
+def heavy_links(sets: DataFrame, light: int, percent: int) -> DataFrame:
     """Links between sets that meet in the inverted list of a rare shingle."""
     entries = cut_lineage(sets.where(F.col("prefix").isNotNull()).select("id", F.explode("prefix").alias("h")), "lists")
     stars = entries.groupBy("h").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
@@ -325,8 +339,12 @@ def heavy_links(sets: DataFrame, percent: int) -> DataFrame:
         for table in runs(batches, "grp", "b", "i", "c", "j"):
             if len(table) < 2:
                 continue
-            sets = [np.frombuffer(x, np.uint64) for x in table.column("items").to_pylist()]
-            a, b = linked_rows(sets, np.asarray(table.column("n")), np.asarray(table.column("left")), percent)
+            size = np.asarray(table.column("n"))
+            sets = [
+                _unpacked(x) if n > light else np.frombuffer(x, np.uint64) >> SHORT
+                for x, n in zip(table.column("items").to_pylist(), size.tolist())
+            ]
+            a, b = linked_rows(sets, size, np.asarray(table.column("left")), percent)
             if len(a):
                 ids = table.column("id").combine_chunks()
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], ["a", "b"])
@@ -392,11 +410,12 @@ def near_duplicates(
     usable = settled.where(F.col("id").isNotNull() & (F.col("n") > 0))
     twins = usable.groupBy("n", "f1", "f2").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("rows"))
     twins = cut_lineage(twins.where("rows > 1").drop("rows"), "twins")
+    # one row of each distinct set, found by keys that no group of copies shares
+    firsts = usable.groupBy("n", "f1", "f2").agg(F.min("id").alias("id"))
+    kept = usable.where("items is not null or prefix is not null").join(firsts, ["id", "n", "f1", "f2"])
+    kept = cut_lineage(kept.dropDuplicates(["id", "n", "f1", "f2"]), "distinct")
     own = usable.join(twins, ["n", "f1", "f2"], "left").withColumn("b", F.coalesce("b", "id"))
-    kept = cut_lineage(
-        own.where("b = id and (items is not null or prefix is not null)").dropDuplicates(["id", "n", "f1", "f2"]), "distinct"
-    )
-    links = heavy_links(kept, percent).unionByName(light_links(kept, light, percent))
+    links = heavy_links(kept, light, percent).unionByName(light_links(kept, light, percent))
     # an id with several texts holds their classes together
     several = own.groupBy("id").agg(F.min("b").alias("m"), F.max("b").alias("x")).where("m <> x").select("id", "m")
     same = own.join(several, "id").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
