@@ -1,169 +1,129 @@
-"""English stemming, applied once per distinct word."""
+"""English stemming (Porter2) as SQL expressions over a table of distinct words.
 
-from __future__ import annotations
-
-import re
-import sys
-from collections.abc import Iterator
+The rules are CASE expressions in SQL text that Spark and DuckDB both run; `steps` names one column per step, each
+from the one before. No Python runs per word, and each distinct word is stemmed once.
+"""
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
-
-# tasks get the stemmer with the query, so executors need no copy of this package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from __future__ import annotations
 
-MEMO = 200_000
+from collections.abc import Iterable, Mapping
 
 # Suffix tables and exceptions of the published Porter2 (Snowball English) definition
-_SPECIAL = {
+SPECIAL = {
     "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "idly": "idl",
     "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli", "singly": "singl",
     "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas", "cosmos": "cosmos", "bias": "bias",
     "andes": "andes",
 }
-_KEPT = {"inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"}
-_STEP2 = {
+KEPT = ["inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"]
+STEP2 = {
     "tional": "tion", "enci": "ence", "anci": "ance", "abli": "able", "entli": "ent", "izer": "ize",
     "ization": "ize", "ational": "ate", "ation": "ate", "ator": "ate", "alism": "al", "aliti": "al",
     "alli": "al", "fulness": "ful", "ousli": "ous", "ousness": "ous", "iveness": "ive", "iviti": "ive",
     "biliti": "ble", "bli": "ble", "fulli": "ful", "lessli": "less",
 }
-_STEP3 = {
+STEP3 = {
     "tional": "tion", "ational": "ate", "alize": "al", "icate": "ic", "iciti": "ic", "ical": "ic",
     "ful": "", "ness": "",
 }
-_STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism", "ate",
-          "iti", "ous", "ive", "ize"]
-
-_REGION = re.compile(r"[aeiouy][^aeiouy](.*)$", re.S)
-_SHORT_END = re.compile(r"(^[aeiouy][^aeiouy]|[^aeiouy][aeiouy][^aeiouywxY])$")
-_HAS_VOWEL = re.compile(r"[aeiouy]")
-
-
-def _regions(word: str) -> tuple[int, int]:
-    """Start of R1 and of R2."""
-    r1 = len(word)
-    for head in ("gener", "commun", "arsen"):
-        if word.startswith(head):
-            r1 = len(head)
-            break
-    else:
-        found = _REGION.search(word)
-        if found:
-            r1 = found.start(1)
-    found = _REGION.search(word, r1)
-    return r1, found.start(1) if found else len(word)
-
-
-def _longest(word: str, suffixes) -> str | None:
-    fitting = [s for s in suffixes if word.endswith(s)]
-    return max(fitting, key=len) if fitting else None
-
-
-def stem(word: str) -> str:
-    """Porter2 stem of one lower-case word."""
-    if len(word) <= 2:
-        return word
-    word = word.lstrip("'")
-    if word in _SPECIAL:
-        return _SPECIAL[word]
-    word = re.sub(r"^y|(?<=[aeiouy])y", "Y", word)
-    r1, r2 = _regions(word)
-
-    word = re.sub(r"('s'|'s|')$", "", word)
-    if word.endswith("sses"):
-        word = word[:-2]
-    elif word.endswith(("ied", "ies")):
-        word = word[:-2] if len(word) > 4 else word[:-1]
-    elif word.endswith("s") and not word.endswith(("us", "ss")) and _HAS_VOWEL.search(word[:-2]):
-        word = word[:-1]
-    if word in _KEPT:
-        return word
-
-    suffix = _longest(word, ("eed", "eedly", "ed", "edly", "ing", "ingly"))
-    if suffix in ("eed", "eedly"):
-        if len(word) - len(suffix) >= r1:
-            word = word[: -len(suffix)] + "ee"
-    elif suffix and _HAS_VOWEL.search(word[: -len(suffix)]):
-        word = word[: -len(suffix)]
-        if word.endswith(("at", "bl", "iz")):
-            word += "e"
-        elif word.endswith(("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")):
-            word = word[:-1]
-        elif r1 >= len(word) and _SHORT_END.search(word):
-            word += "e"
-
-    if len(word) > 2 and word[-1] in "yY" and word[-2] not in "aeiouy":
-        word = word[:-1] + "i"
-
-    suffix = _longest(word, [*_STEP2, "ogi", "li"])
-    if suffix and len(word) - len(suffix) >= r1:
-        head = word[: -len(suffix)]
-        if suffix == "ogi":
-            word = head + "og" if head.endswith("l") else word
-        elif suffix == "li":
-            word = head if head[-1:] in set("cdeghkmnrt") else word
-        else:
-            word = head + _STEP2[suffix]
-
-    suffix = _longest(word, [*_STEP3, "ative"])
-    if suffix and len(word) - len(suffix) >= r1:
-        if suffix == "ative":
-            word = word[:-5] if len(word) - 5 >= r2 else word
-        else:
-            word = word[: -len(suffix)] + _STEP3[suffix]
-
-    suffix = _longest(word, [*_STEP4, "ion"])
-    if suffix and len(word) - len(suffix) >= r2:
-        head = word[: -len(suffix)]
-        if suffix != "ion" or head.endswith(("s", "t")):
-            word = head
-
-    if word.endswith("e"):
-        at = len(word) - 1
-        if at >= r2 or (at >= r1 and not _SHORT_END.search(word[:-1])):
-            word = word[:-1]
-    elif word.endswith("ll") and len(word) - 1 >= r2:
-        word = word[:-1]
-    return word.replace("Y", "y")
-
-
-def stem_udf(col: str | Column) -> Column:
-    @F.pandas_udf("string")
-    def stems(words: pd.Series) -> pd.Series:
-        return words.map(stem)
-
-    return stems(col)
-
-
-def stem_text(col: str | Column) -> Column:
-    """Texts with every blank-separated word stemmed.
-
-    Order matters for bigrams, so the words stay in their text: one Arrow column in and out and no
-    shuffle. A task stems each distinct word once, as long as it meets fewer than MEMO of them.
-    """
-    @F.pandas_udf("string")
-    def stems(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[str, str] = {}
-
-        def of(word: str) -> str:
-            if word not in known:
-                if len(known) >= MEMO:
-                    known.clear()
-                known[word] = stem(word)
-            return known[word]
-
-        for texts in batches:
-            yield texts.map(lambda t: None if t is None else " ".join(map(of, t.split(" "))))
-
-    return stems(col)
-
-
-def stem_terms(df: DataFrame, col: str, name: str = "stem") -> DataFrame:
-    """Adds the stem of a word column; each distinct word is stemmed once.
-
-    The dictionary grows with the data, so the size of the join side is left to Spark to check.
-    """
-    words = df.select(col).distinct().withColumn(name, stem_udf(col))
-    return df.join(words, col)
+STEP4 = ["al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism", "ate",
+         "iti", "ous", "ive", "ize"]
+
+_REGION = "'(?s)^.*?[aeiouy][^aeiouy]'"
+_SHORT = "((?s)^[aeiouy][^aeiouy]|[^aeiouy][aeiouy][^aeiouywxY])$"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _head(word: str, cut: int | str) -> str:
+    """The word without its last `cut` letters."""
+    return f"substr({word}, 1, greatest(length({word}) - {cut}, 0))"
+
+
+def _ends(word: str, suffix: str) -> str:
+    return f"(right({word}, {len(suffix)}) = {_text(suffix)} AND length({word}) >= {len(suffix)})"
+
+
+def _longest(word: str, results: Mapping[str, str]) -> str:
+    """CASE over suffixes, longest first; `results` has the SQL for each. Other words stay."""
+    cases = " ".join(f"WHEN {_ends(word, s)} THEN {results[s]}" for s in sorted(results, key=lambda s: (-len(s), s)))
+    return f"CASE {cases} ELSE {word} END"
+
+
+def _replaced(word: str, region: str, pairs: Iterable[tuple[str, str]]) -> dict[str, str]:
+    """suffix to SQL: replaced where the suffix lies in the region, else the word as it is."""
+    return {
+        s: f"CASE WHEN length({word}) - {len(s)} >= {region} THEN {_head(word, len(s))} || {_text(new)} ELSE {word} END"
+        for s, new in pairs
+    }
+
+
+def steps(word: str, dialect: str = "spark") -> list[tuple[str, str]]:
+    """(column, SQL) from the column `word` to `_stem`; every step may use the columns before it."""
+    def sub(text: str, pattern: str, to: str) -> str:
+        back = {"spark": f"'$1{to}'", "duckdb": f"'\\1{to}', 'g'"}[dialect]
+        return f"regexp_replace({text}, '{pattern}', {back})"
+
+    def has(text: str, pattern: str) -> str:
+        return {"spark": f"({text} RLIKE '{pattern}')", "duckdb": f"regexp_matches({text}, '{pattern}')"}[dialect]
+
+    vowel = lambda text: has(text, "[aeiouy]")
+    found: list[tuple[str, str]] = []
+
+    def step(name: str, sql: str) -> str:
+        found.append((name, sql))
+        return name
+
+    bare = step("_bare", f"TRIM(LEADING '''' FROM {word})")
+    first = step("_y0", f"CASE WHEN substr({bare}, 1, 1) = 'y' THEN 'Y' || substr({bare}, 2) ELSE {bare} END")
+    once = step("_y1", sub(first, "([aeiouy])y", "Y"))
+    w = step("_y2", sub(once, "([aeiouyY])y", "Y"))
+    match = step("_m1", f"regexp_extract({w}, {_REGION}, 0)")
+    heads = " ".join(f"WHEN substr({w}, 1, {len(h)}) = '{h}' THEN {len(h)}" for h in ("gener", "commun", "arsen"))
+    step("_r1", f"CASE {heads} WHEN {match} = '' THEN length({w}) ELSE length({match}) END")
+    match = step("_m2", f"regexp_extract(substr({w}, _r1 + 1), {_REGION}, 0)")
+    step("_r2", f"CASE WHEN {match} = '' THEN length({w}) ELSE _r1 + length({match}) END")
+
+    w = step("_s0", _longest(w, {s: _head(w, len(s)) for s in ("'s'", "'s", "'")}))
+    ies = f"CASE WHEN length({w}) > 4 THEN {_head(w, 2)} ELSE {_head(w, 1)} END"
+    plain = f"CASE WHEN {vowel(_head(w, 2))} THEN {_head(w, 1)} ELSE {w} END"
+    w = step("_s1a", _longest(w, {"sses": _head(w, 2), "ied": ies, "ies": ies, "us": w, "ss": w, "s": plain}))
+    step("_kept", f"{w} IN ({', '.join(map(_text, KEPT))})")
+
+    def past(n: int) -> str:
+        h = _head(w, n)
+        double = " OR ".join(_ends(h, c * 2) for c in "bdfgmnprt")
+        more = " OR ".join(_ends(h, e) for e in ("at", "bl", "iz"))
+        return (f"CASE WHEN NOT {vowel(h)} THEN {w} WHEN {more} THEN {h} || 'e' WHEN {double} THEN {_head(w, n + 1)} "
+                f"WHEN _r1 >= length({h}) AND {has(h, _SHORT)} THEN {h} || 'e' ELSE {h} END")
+
+    rules = _replaced(w, "_r1", [("eed", "ee"), ("eedly", "ee")]) | {s: past(len(s)) for s in ("ed", "edly", "ing", "ingly")}
+    w = step("_s1b", _longest(w, rules))
+    w = step("_s1c", f"CASE WHEN length({w}) > 2 AND right({w}, 1) IN ('y', 'Y') AND NOT {vowel(f'substr({w}, length({w}) - 1, 1)')} "
+                     f"THEN {_head(w, 1)} || 'i' ELSE {w} END")
+    rules = _replaced(w, "_r1", STEP2.items())
+    rules["ogi"] = f"CASE WHEN length({w}) - 3 >= _r1 AND {_ends(_head(w, 3), 'l')} THEN {_head(w, 1)} ELSE {w} END"
+    rules["li"] = f"CASE WHEN length({w}) - 2 >= _r1 AND {has(_head(w, 2), '[cdeghkmnrt]$')} THEN {_head(w, 2)} ELSE {w} END"
+    w = step("_s2", _longest(w, rules))
+    rules = _replaced(w, "_r1", STEP3.items())
+    rules["ative"] = f"CASE WHEN length({w}) - 5 >= _r2 AND length({w}) - 5 >= _r1 THEN {_head(w, 5)} ELSE {w} END"
+    w = step("_s3", _longest(w, rules))
+    rules = _replaced(w, "_r2", [(s, "") for s in STEP4])
+    rules["ion"] = f"CASE WHEN length({w}) - 3 >= _r2 AND {has(_head(w, 3), '[st]$')} THEN {_head(w, 3)} ELSE {w} END"
+    w = step("_s4", _longest(w, rules))
+    silent = (f"CASE WHEN length({w}) - 1 >= _r2 OR (length({w}) - 1 >= _r1 AND NOT {has(_head(w, 1), _SHORT)}) "
+              f"THEN {_head(w, 1)} ELSE {w} END")
+    w = step("_s5", _longest(w, {"e": silent, "ll": f"CASE WHEN length({w}) - 1 >= _r2 THEN {_head(w, 1)} ELSE {w} END"}))
+    special = " ".join(f"WHEN {bare} = {_text(k)} THEN {_text(v)}" for k, v in SPECIAL.items())
+    step("_stem", f"CASE WHEN length({word}) <= 2 THEN {word} {special} WHEN _kept THEN _s1a ELSE replace({w}, 'Y', 'y') END")
+    return found
+
+
+def stemmed_sql(words: str, word: str) -> str:
+    """DuckDB: a query that adds `_stem` to the rows of the query or table `words`."""
+    out = f"(SELECT *, {word} AS _word FROM {words})"
+    for name, sql in steps("_word", "duckdb"):
+        out = f"(SELECT *, {sql} AS {name} FROM {out})"
+    return out

@@ -1,4 +1,4 @@
-"""Text expressions. All run in the JVM; only the stemmer (stemming.py) is Python."""
+"""Text expressions. All run in the JVM."""
 
 from __future__ import annotations
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from reviewloom.functions.stemming import stem_text, stem_terms
+from reviewloom.functions.stemming import steps
 from reviewloom.functions.text import blank_words, corpus_text, explode_words, ngrams
 from reviewloom.functions.words import CORPUS_STOP_WORDS, STOP_BIGRAMS, STOP_WORDS
 from reviewloom.operators.aggregates import business_stats, doc_freq, doc_freq_by, term_totals
@@ -15,13 +15,42 @@ from reviewloom.operators.filters import drop_terms, for_business, terms_in_all_
 from reviewloom.operators.joins import bind_meta, left_stats, spread_join
 from reviewloom.operators.ordering import global_positions
 from reviewloom.operators.ranking import top_words_limit
+from reviewloom.session import cut_lineage
+
+
+def word_stems(words: DataFrame, col: str, name: str = "stem") -> DataFrame:
+    """The distinct words of a column with their stems, written once: rules that are inlined into filters or joins
+    above would grow without end."""
+    out = words.select(F.col(col).alias("_word")).distinct()
+    for step, sql in steps("_word"):
+        out = out.withColumn(step, F.expr(sql))
+    return cut_lineage(out.select(F.col("_word").alias(col), F.col("_stem").alias(name)), "stems")
+
+
+def stem_terms(df: DataFrame, col: str, name: str = "stem", by: str | None = None) -> DataFrame:
+    """Adds the stem of a word column. A common word is in most rows, so rows are dealt out by the column `by`."""
+    return spread_join(df, word_stems(df, col, name), col, by or col)
+
+
+def stem_texts(texts: DataFrame, doc: str, text: str) -> DataFrame:
+    """The texts with every blank-separated word stemmed, in order; `doc` must be unique."""
+    places = texts.select(doc, F.posexplode(F.split(text, " ")).alias("_at", "_term"))
+    stems = stem_terms(places, "_term", "_stemmed", doc)
+    joined = stems.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("_at", "_stemmed"))).alias("_all"))
+    return texts.drop(text).join(joined.select(doc, F.array_join(F.col("_all")["_stemmed"], " ").alias(text)), doc)
 
 
 def clean_corpus(review: DataFrame, text: str = "text", stem: bool = True, words: Sequence[str] = CORPUS_STOP_WORDS,
-                 name: str = "clean") -> DataFrame:
-    """Adds the cleaned text: lower case, no digits, stop words or punctuation, stemmed, single blanks."""
-    cleaned = corpus_text(text, words)
-    return review.withColumn(name, stem_text(cleaned) if stem else cleaned)
+                 name: str = "clean", doc: str = "review_id") -> DataFrame:
+    """Adds the cleaned text: lower case, no digits, stop words or punctuation, stemmed, single blanks.
+
+    Stemming needs `doc`, a unique id: words leave their texts to be stemmed once each, and are put back in order.
+    """
+    cleaned = review.withColumn(name, corpus_text(text, words))
+    if not stem:
+        return cleaned
+    texts = stem_texts(cleaned.select(doc, F.coalesce(name, F.lit("")).alias(name)), doc, name)
+    return review.join(texts, doc)
 
 
 def corpus_tokens(cleaned: DataFrame, *cols: str, n: int = 1, text: str = "clean") -> DataFrame:
@@ -73,7 +102,7 @@ def drop_sparse(dtm: DataFrame, docs: DataFrame, sparsity: float, part_rows: int
 def bigram_dtm(review: DataFrame, sparsity: float | None = 0.98, doc: str = "review_id", text: str = "text",
                stem: bool = True) -> DataFrame:
     """Bigram matrix of the cleaned texts, without sparse bigrams unless sparsity is None."""
-    tokens = corpus_tokens(clean_corpus(review, text, stem), doc, n=2)
+    tokens = corpus_tokens(clean_corpus(review, text, stem, doc=doc), doc, n=2)
     dtm = doc_terms(tokens, doc)
     return dtm if sparsity is None else drop_sparse(dtm, review, sparsity, doc=doc)
 
@@ -140,7 +169,7 @@ def stemmed_tfidf(texts: DataFrame, doc: str = "file_name", text: str = "text",
     bare = F.regexp_replace(F.lower(text), r"\p{Punct}+", "")
     tokens = texts.select(doc, F.filter(F.split(bare, r"\s+"), lambda w: w != "").alias("tokens"))
     counted = doc_terms(tokens, doc, min_len=1)
-    stems = stem_terms(counted, "term").filter(~F.col("stem").isin(list(words)))
+    stems = stem_terms(counted, "term", by=doc).filter(~F.col("stem").isin(list(words)))
     merged = stems.groupBy(doc, F.col("stem").alias("term")).agg(F.sum("n").alias("n"))
     return tfidf(merged, "smooth", doc)
 

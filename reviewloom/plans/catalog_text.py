@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from reviewloom.functions.stemming import stemmed_sql
 from reviewloom.functions.text import blank_words, drop_stopwords, ngrams, simple_tokens, tokenize
 from reviewloom.functions.words import CORPUS_STOP_WORDS, STOP_BIGRAMS, STOP_WORDS
 from reviewloom.operators import aggregates as A, corpus as T, filters as P, ranking as K, reviewwords as R
@@ -138,11 +139,18 @@ m AS (SELECT review_id, business_id, stars, regexp_replace(regexp_replace(lower(
 cl AS (SELECT review_id, business_id, stars, trim(regexp_replace(regexp_replace(regexp_replace(t, '{_MARKED}', '', 'g'),
  '[[:punct:]\\x01\\x02]+', '', 'g'), '\\s+', ' ', 'g'), ' ') AS clean FROM m),
 tk AS MATERIALIZED (SELECT review_id, business_id, stars, list_filter(string_split(clean, ' '), lambda w: w <> '') AS tokens FROM cl)"""
+_STEMMED = _CLEAN.replace("cl AS (", "c0 AS (").split(",\ntk AS")[0] + f""",
+sp AS MATERIALIZED (SELECT review_id, unnest(string_split(clean, ' ')) AS word, generate_subscripts(string_split(clean, ' '), 1) AS pos FROM c0),
+st AS MATERIALIZED (SELECT word, _stem FROM {stemmed_sql("(SELECT DISTINCT word FROM sp)", "word")}),
+sc AS (SELECT review_id, string_agg(_stem, ' ' ORDER BY pos) AS clean FROM sp JOIN st USING (word) GROUP BY 1),
+cl AS (SELECT review_id, business_id, stars, sc.clean FROM c0 JOIN sc USING (review_id)),
+tk""" + " AS" + _CLEAN.split(",\ntk AS")[1]
 _DTM = _CLEAN + """,
 dtm AS MATERIALIZED (SELECT review_id, term, count(*) AS n FROM (SELECT review_id, unnest(tokens) AS term FROM tk) WHERE length(term) >= 3 GROUP BY 1, 2)"""
-_BIGRAMS = _CLEAN + """,
+_GRAMS = """,
 bg AS MATERIALIZED (SELECT review_id, business_id, list_transform(list_zip(tokens[:-2], tokens[2:]), lambda p: p[1] || ' ' || p[2]) AS grams FROM tk WHERE len(tokens) >= 2),
 dtm AS MATERIALIZED (SELECT review_id, any_value(business_id) AS business_id, term, count(*) AS n FROM (SELECT review_id, business_id, unnest(grams) AS term FROM bg) WHERE length(term) >= 3 GROUP BY review_id, term)"""
+_BIGRAMS = _CLEAN + _GRAMS
 
 
 def _clean(spark, sf, stem=False):
@@ -162,16 +170,14 @@ def _(spark, sf):
     return _clean(spark, sf).select("review_id", "clean")
 
 
-@query("t6_clean_stemmed_corpus")
+@query("t6_clean_stemmed_corpus", "WITH " + _STEMMED + " SELECT review_id, clean FROM cl")
 def _(spark, sf):
     return _clean(spark, sf, stem=True).select("review_id", "clean")
 
 
-@query("t7_stem_terms")
+@query("t7_stem_terms", "WITH " + _DTM + " SELECT term, _stem AS stem FROM " + stemmed_sql("(SELECT DISTINCT term FROM dtm)", "term"))
 def _(spark, sf):
-    from reviewloom.functions.stemming import stem_terms
-
-    return stem_terms(_dtm(spark, sf).select("term").distinct(), "term")
+    return T.word_stems(_dtm(spark, sf), "term")
 
 
 @query("t8_doc_terms", "WITH " + _DTM + " SELECT * FROM dtm")
@@ -248,13 +254,16 @@ SELECT business_id, term, num, round(avg_stars, 6) AS avg_stars, num_reviews FRO
 (SELECT business_id, avg(stars) AS avg_stars, count(*) AS num_reviews FROM v_text_review GROUP BY 1) USING (business_id)"""
 
 
-@query("t11_bigram_recommendations", "WITH " + _BIGRAMS + """,
-kept AS (SELECT * FROM dtm WHERE term IN (SELECT term FROM dtm GROUP BY 1 HAVING count(*) > (SELECT count(*) FROM v_text_review) * (1.0 - 0.98::DOUBLE)))""" + _TOP_GRAMS)
+_KEPT_GRAMS = """,
+kept AS (SELECT * FROM dtm WHERE term IN (SELECT term FROM dtm GROUP BY 1 HAVING count(*) > (SELECT count(*) FROM v_text_review) * (1.0 - 0.98::DOUBLE)))"""
+
+
+@query("t11_bigram_recommendations", "WITH " + _BIGRAMS + _KEPT_GRAMS + _TOP_GRAMS)
 def _(spark, sf):
     return T.bigram_recommendations(V.text_review(spark, sf), stem=False).withColumn("avg_stars", r6("avg_stars"))
 
 
-@query("t11_stemmed_recommendations")
+@query("t11_stemmed_recommendations", "WITH " + _STEMMED + _GRAMS + _KEPT_GRAMS + _TOP_GRAMS)
 def _(spark, sf):
     return T.bigram_recommendations(V.text_review(spark, sf)).withColumn("avg_stars", r6("avg_stars"))
 
@@ -309,7 +318,13 @@ def _(spark, sf):
     return T.tfidf(_dtm(spark, sf), "smooth").withColumn("weight", r6("weight"))
 
 
-@query("t17_stemmed_tfidf")
+@query("t17_stemmed_tfidf", f"""
+WITH w AS MATERIALIZED (SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(lower(text), '[[:punct:]]+', '', 'g'), '[ \\t\\n\\x0B\\f\\r]+')) AS word FROM documents),
+c AS MATERIALIZED (SELECT doc_id, word, count(*) AS n FROM w WHERE word <> '' GROUP BY 1, 2),
+st AS MATERIALIZED (SELECT word, _stem FROM {stemmed_sql("(SELECT DISTINCT word FROM c)", "word")}),
+dtm AS MATERIALIZED (SELECT doc_id, _stem AS term, sum(n) AS n FROM c JOIN st USING (word) WHERE _stem NOT IN ({_quoted(STOP_WORDS)}) GROUP BY 1, 2),
+wt AS (SELECT doc_id, term, n * (ln((1 + (SELECT count(DISTINCT doc_id) FROM dtm))::DOUBLE / (1 + count(*) OVER (PARTITION BY term))) + 1) AS w FROM dtm)
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM wt""")
 def _(spark, sf):
     texts = V.raw(spark, sf, "documents").select("doc_id", "text")
     return T.stemmed_tfidf(texts, doc="doc_id").withColumn("weight", r6("weight"))

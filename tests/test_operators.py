@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewloom.functions import columns as X
-from reviewloom.functions.stemming import stem
 from reviewloom.functions.text import blank_words, corpus_text, ngrams, tokenize
 from reviewloom.operators import aggregates as A, categories as C, corpus as T, filters as P, ranking as K
 from reviewloom.operators import reviewwords as R
@@ -68,13 +67,22 @@ def test_bigrams(spark):
     assert one(spark, ngrams(blank_words("v")), "") == []
 
 
-@pytest.mark.parametrize("word, want", [
+STEMS = dict([
     ("happy", "happi"), ("vegas", "vega"), ("service", "servic"), ("really", "realli"), ("definitely", "definit"),
     ("consistency", "consist"), ("knackeries", "knackeri"), ("relational", "relat"), ("hopping", "hop"), ("by", "by"),
     ("generate", "generat"), ("skies", "sky"), ("ties", "tie"), ("agreed", "agre"), ("", ""), ("controlling", "control"),
+    ("yyy", "yyi"), ("'early", "earli"), ("dogs'", "dog"), ("ayyyying", "ayyyi"), ("communism", "communism"), ("outing", "outing"),
 ])
-def test_stems(word, want):
-    assert stem(word) == want
+
+
+def test_stems(spark):
+    words = spark.createDataFrame([(w,) for w in [*STEMS, *STEMS]], "word string")
+    assert {r.word: r.stem for r in T.word_stems(words, "word").collect()} == STEMS
+
+
+def test_stems_stay_in_their_place(spark):
+    texts = spark.createDataFrame([(1, "happy ties happy"), (2, ""), (3, "by")], "doc int, t string")
+    assert sorted(map(tuple, T.stem_texts(texts, "doc", "t").collect())) == [(1, "happi tie happi"), (2, ""), (3, "by")]
 
 
 # ---- aggregates
