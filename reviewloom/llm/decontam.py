@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from reviewloom.llm.shipping import ship
+from reviewloom.llm.shipping import ship, small_batches
 from reviewloom.llm.words import Words, pieces
 
 #: words of a window
@@ -223,6 +223,7 @@ def suffix_matches(
     verbatim match that holds a window, items are the ids of the items with occurring windows (distinct).
     """
     spark = docs.sparkSession
+    small_batches(spark)
     keep = docs.columns if keep is None else keep
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("text"))
     state = "n_words long, n_hit long, longest long, items array<string>, hit binary"

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from reviewloom.llm.shipping import ship
+from reviewloom.llm.shipping import ship, small_batches
 from reviewloom.llm.words import mix, pieces
 from reviewloom.session import cut_lineage
 
@@ -36,7 +36,8 @@ PER_LANGUAGE, CENTROIDS, WIDTH = 500, 4, 8192
 #: a text is rejected below SHARE of the QUANTILE of the cosines of sample texts of its length
 SHARE, QUANTILE = 0.5, 0.005
 BROADCAST_IDS = 200_000
-ROWS = 256  # texts of one dense matrix
+ROWS = 128  # texts of one dense matrix
+TEXT = 256 << 10  # bytes of text whose n-grams are held at once (one longer text at least)
 
 
 def letters() -> np.ndarray:
@@ -141,10 +142,19 @@ def cuts_of(text: str) -> list[str]:
 
 
 def sample(docs: DataFrame, train: Column, text: str, label: str, id: str, per_language: int) -> DataFrame:
-    """The labelled texts to learn from: label and text, each id once."""
+    """The labelled texts to learn from: label and text, each id once.
+
+    A language's share of hash space is set from its count so that about three times the sample lies below it; only
+    those ids are ranked, so no task sees more of a language however large it is.
+    """
     slim = docs.where(train & F.col(label).isNotNull() & F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(label).alias("label"))
+    share = slim.groupBy("label").agg((F.lit(3.0 * per_language) / F.count(F.lit(1))).alias("share"))
+    share = cut_lineage(share, "shares")
+    if share.count() <= BROADCAST_IDS:
+        share = F.broadcast(share)
+    low = slim.join(share, "label").where(F.pmod(F.xxhash64("id"), F.lit(1 << 52)) / float(1 << 52) < F.col("share"))
     order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    ids = slim.distinct().withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_language).drop("at")
+    ids = low.select("id", "label").distinct().withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_language).drop("at")
     ids = cut_lineage(ids, "sample-ids")
     if ids.count() <= BROADCAST_IDS:  # languages x per_language; else Spark chooses the join
         ids = F.broadcast(ids)
@@ -157,13 +167,14 @@ def train(
     per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS, width: int = WIDTH,
 ) -> Model:
     """A model from the rows where `learn` holds."""
+    small_batches(docs.sparkSession)
     bits = letters()
     letter_of = ship(docs.sparkSession, bits)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letter = np.unpackbits(letter_of()).astype(bool)
         for batch in batches:
-            for piece in pieces([batch], "text"):
+            for piece in pieces([batch], "text", TEXT):
                 texts, at = piece.column("text").to_pylist(), 0
                 rows = []
                 for counts, size in blocks(texts, letter, width):
@@ -205,7 +216,7 @@ def limits(rows: DataFrame, model: Model, width: int) -> np.ndarray:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = load()
         letter = np.unpackbits(own.letter).astype(bool)
-        for piece in pieces(batches, "text"):
+        for piece in pieces(batches, "text", TEXT):
             texts = piece.column("text").to_pylist()
             for counts, size in blocks([c for t in texts for c in [t, *cuts_of(t)]], letter, width):
                 top = own.cosines(counts).max(axis=1)[size > 0]
@@ -224,6 +235,7 @@ def limits(rows: DataFrame, model: Model, width: int) -> np.ndarray:
 
 def with_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """row (a struct of all columns), lang_pred, score and rejected of every document."""
+    small_batches(docs.sparkSession)
     load = ship(docs.sparkSession, model)
 
     @F.pandas_udf("struct<lang_pred:string,score:double,rejected:boolean>")
@@ -231,7 +243,7 @@ def with_language(docs: DataFrame, model: Model, text: str = "text") -> DataFram
         own = load()
         for texts in batches:
             parts = []
-            for piece in pieces([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])], "text"):
+            for piece in pieces([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])], "text", TEXT):
                 names, score, out = own.predict(piece.column("text").to_pylist())
                 parts.append(pd.DataFrame({"lang_pred": names, "score": score, "rejected": out}))
             yield pd.concat(parts) if parts else pd.DataFrame({"lang_pred": [], "score": [], "rejected": []})

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from reviewloom.llm.shipping import ship
+from reviewloom.llm.shipping import ship, small_batches
 from reviewloom.llm.words import Words, digest_of, pieces
 
 #: Base phrases and their labels
@@ -220,6 +220,7 @@ def license_labels(
 ) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (share of the words inside base
     places and accepted texts) and spans (label, first word, end) of the accepted texts."""
+    small_batches(docs.sparkSession)
     scanner = ship(docs.sparkSession, Scanner(templates, base))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from reviewloom.llm.shipping import small_batches
 from reviewloom.session import cut_lineage
 
 LONGER = 6
@@ -297,6 +298,7 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
 
 def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """row (a struct of the columns, the text rewritten) and entities, the (kind, norm) found in it. Runs jobs."""
+    small_batches(docs.sparkSession)
     secret_key = key.encode()
 
     @F.pandas_udf("array<struct<kind:string,norm:string>>")

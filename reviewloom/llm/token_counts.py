@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from reviewloom.llm.shipping import ship
+from reviewloom.llm.shipping import ship, small_batches
 from reviewloom.llm.words import pieces
 
 #: counts of distinct pre-tokens that a task remembers; beyond, it forgets all and goes on
@@ -156,6 +156,7 @@ def token_counts(
 
     The driver reads the file once and broadcasts its tables (some MB, fixed by the vocabulary).
     """
+    small_batches(docs.sparkSession)
     merges = ship(docs.sparkSession, Merges(path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

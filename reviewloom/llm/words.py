@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: texts are worked on in pieces of about so many bytes (one text at least)
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
