@@ -3,8 +3,10 @@
 Method: texts become normalised TF-IDF vectors of letter n-grams (1 to 3 letters, words marked by their ends,
 hashed to WIDTH places; 1 + log of the count). Of each language a bounded sample of labelled texts is clustered
 into up to CENTROIDS centroids (spherical k-means, fixed starts); a text has the language of the centroid of
-largest cosine. A text is rejected if that cosine is far below what texts of its length reach: the limit is a
-share of a low quantile, taken for each length from sample texts and cuts of them.
+largest cosine. A text is rejected if that cosine is below the limit of its length, which lies halfway between a high
+quantile of the cosines that sample texts and cuts of them have with other languages than theirs (as a strange text
+would) and a low quantile of the cosines by which they are found; it is the latter if the two overlap or one language
+is learned. Lengths with few samples share their limit with shorter ones, so single odd texts set none.
 
 Sample: at most PER_LANGUAGE texts a language, those of smallest hash of their id. Only this sample (text and
 label) is learned from; its vectors, bounded by languages x PER_LANGUAGE, and the model, languages x CENTROIDS x WIDTH
@@ -33,8 +35,9 @@ from reviewloom.llm.words import mix, pieces
 from reviewloom.session import cut_lineage
 
 PER_LANGUAGE, CENTROIDS, WIDTH = 500, 4, 8192
-#: a text is rejected below SHARE of the QUANTILE of the cosines of sample texts of its length
-SHARE, QUANTILE = 0.5, 0.005
+#: quantiles of the cosines of strange and of known texts, the least samples of a length class with a limit of its own,
+#: and the steps to which cosines are counted
+STRANGE, KNOWN, LEAST, STEPS = 0.99, 0.005, 200, 1000
 BROADCAST_IDS = 200_000
 ROWS = 128  # texts of one dense matrix
 TEXT = 256 << 10  # bytes of text whose n-grams are held at once (one longer text at least)
@@ -216,20 +219,46 @@ def limits(rows: DataFrame, model: Model, width: int) -> np.ndarray:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = load()
         letter = np.unpackbits(own.letter).astype(bool)
+        number = {name: i for i, name in enumerate(own.names)}
         for piece in pieces(batches, "text", TEXT):
-            texts = piece.column("text").to_pylist()
-            for counts, size in blocks([c for t in texts for c in [t, *cuts_of(t)]], letter, width):
-                top = own.cosines(counts).max(axis=1)[size > 0]
-                yield pa.RecordBatch.from_arrays([pa.array(length_class(size[size > 0]).astype(np.int32)), pa.array(top.astype(np.float64))], ["length", "cosine"])
-
-    low = rows.mapInArrow(measure, "length int, cosine double").groupBy("length").agg(F.expr(f"percentile_approx(cosine, {QUANTILE}, 10000)").alias("low"))
-    out = np.full(21, np.nan)
-    for row in low.collect():
-        out[row["length"]] = row["low"] * SHARE
-    # lengths that the sample lacks have the limit of the next shorter one, at most that of longer ones
-    for i in range(21):
-        if np.isnan(out[i]):
-            out[i] = out[i - 1] if i else 0.0
+            cuts, labels = [], []
+            for text, name in zip(piece.column("text").to_pylist(), piece.column("label").to_pylist()):
+                cuts += [text, *cuts_of(text)]
+                labels += [number.get(name, -1)] * (len(cuts) - len(labels))
+            at = 0
+            for counts, size in blocks(cuts, letter, width):
+                cos, label = own.cosines(counts), np.array(labels[at:at + len(counts)])
+                at += len(counts)
+                other = np.where(own.language == label[:, None], -1, cos).max(axis=1)
+                step = lambda x: (np.clip(x, 0, 1) * STEPS).astype(np.int32)
+                for strange, top in ((False, cos.max(axis=1)), (True, other)):
+                    use = (size > 0) & (top >= 0)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(length_class(size[use]).astype(np.int32)), pa.array(np.full(use.sum(), strange)), pa.array(step(top[use]))],
+                        ["length", "strange", "step"],
+                    )
+
+    found = rows.mapInArrow(measure, "length int, strange boolean, step int").groupBy("length", "strange", "step").count()
+    known, strange = np.zeros((21, STEPS + 1), np.int64), np.zeros((21, STEPS + 1), np.int64)
+    for row in found.collect():
+        (strange if row["strange"] else known)[row["length"], row["step"]] = row["count"]
+    return limits_of(known, strange)
+
+
+def limits_of(known: np.ndarray, strange: np.ndarray) -> np.ndarray:
+    """Limits by length class from counts by length class and cosine step."""
+    out = np.zeros(21)
+    top = 21
+    while top > 0:  # from the longest class on, so many classes together that they have LEAST samples
+        low = top - 1
+        while low > 0 and known[low:top].sum() < LEAST:
+            low -= 1
+        k, s = known[low:top].sum(axis=0).cumsum(), strange[low:top].sum(axis=0).cumsum()
+        least = np.searchsorted(k, KNOWN * k[-1], "right") / STEPS if k[-1] else 0.0
+        most = np.searchsorted(s, STRANGE * s[-1]) / STEPS if s[-1] else least
+        out[low:top] = min(least, (least + most) / 2)
+        top = low
+    # a text that is longer than another is not let in where that one is kept out
     return np.minimum.accumulate(out[::-1])[::-1]
 
 

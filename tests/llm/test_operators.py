@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -165,6 +166,17 @@ def test_language(spark):
     assert {r.lang_pred for r in nothing} == {"und"}
 
 
+def test_single_long_texts_set_no_limit():
+    known, strange = np.zeros((21, langid.STEPS + 1), np.int64), np.zeros((21, langid.STEPS + 1), np.int64)
+    known[4:9, 700:800], strange[4:9, 100:200] = 10, 10
+    usual = langid.limits_of(known, strange)
+    assert (usual[4:] > 0.4).all() and (usual < 0.75).all() and (np.diff(usual) >= 0).all()
+    known[12, 30] = strange[12, 30] = 1  # one odd long text
+    assert np.abs(langid.limits_of(known, strange) - usual)[4:].max() < 0.01
+    assert (langid.limits_of(known, np.zeros_like(strange)) >= 0.7)[4:].all()  # one language only
+    assert (langid.limits_of(np.zeros_like(known), np.zeros_like(strange)) == 0).all()
+
+
 # 4 top k
 
 def test_top_products(spark):

@@ -2,9 +2,11 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import reviewloom.llm.queries as corpus
+from reviewloom.llm import langid
 
 TABLES = "documents embeddings pages benchmark labels conversations".split()
 
@@ -53,6 +55,18 @@ def test_language_on_held_out_documents(spark, sf):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+@pytest.mark.parametrize("strange", ["de", "en"])
+def test_left_out_language_is_rejected(spark, sf, strange):
+    """On sf0.01: the smallest table has too few long texts for limits of their own."""
+    docs = spark.read.parquet(f"{sf}/../sf0.01/documents.parquet").where("length(text) >= 200").select("doc_id", "text", "lang")
+    model = langid.train(docs, (F.col("lang") != strange) & ~langid.held_out())
+    rejected = {True: [], False: []}
+    for r in langid.with_language(docs.where(langid.held_out() | (F.col("lang") == strange)), model).collect():
+        rejected[r.row.lang == strange].append(r.rejected)
+    assert len(rejected[True]) > 100 and sum(rejected[True]) >= 0.9 * len(rejected[True])
+    assert len(rejected[False]) > 50 and sum(rejected[False]) <= 0.02 * len(rejected[False])
+
+
 def test_pipeline(spark, sf):
     """Every stage against a plain reading of its own input."""
     from reviewloom.llm import decontam, jaccard, pii
