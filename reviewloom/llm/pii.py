@@ -7,7 +7,9 @@ case, card numbers keep their issuer digit and get a right check digit, addresse
 top-level domains stay, names come from lists of the same gender and script. Spark then checks collisions: a surrogate
 that is a real entity of the corpus, that another entity holds already, or that several ask for (the first in order
 gets it) is drawn again. Only then are the texts written: a mention's surrogate takes the layout of the mention
-(separators, capitals), so coreference survives within and across documents.
+(separators, capitals), so coreference survives within and across documents. A name is any number of capitalised parts
+(with hyphens, apostrophes, initials and the small words of INSIDE) behind a title; the same full name without a title is
+found in the texts where it stands with one.
 
 Only documents with mentions meet the table of surrogates (by joins on entities and rows); all others pass
 as they are and are not shuffled.
@@ -42,7 +44,13 @@ LONGER = 6
 TITLES = {
     "Mr": "m", "Mister": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f", "Señor": "m", "Señora": "f",
     "Monsieur": "m", "Madame": "f", "Mme": "f", "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f",
+    "Sir": "m", "Hr": "m", "Sr": "m", "Sra": "f", "Srta": "f", "Señorita": "f", "Doña": "f", "Mlle": "f", "Mademoiselle": "f",
+    "Dr": "n", "Doctor": "n", "Doktor": "n", "Doctora": "f", "Dra": "f", "Docteur": "n", "Prof": "n", "Professor": "n",
+    "Professorin": "f", "Profesor": "m", "Profesora": "f", "Professeur": "n", "Доктор": "n", "Профессор": "n", "Καθηγητής": "m",
+    "Καθηγήτρια": "f",
 }
+#: small words that stand inside names
+INSIDE = "von van der den de del della di da dos du la le ten ter zu bin ibn al el"
 FIRST = {
     ("latin", "m"): "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leo Martin Noah Oscar Paul Robert Simon Tom Victor",
     ("latin", "f"): "Alice Bella Clara Diana Emma Flora Gina Helen Irene Julia Klara Laura Maria Nora Olga Paula Rosa Sofia Tina Vera",
@@ -180,10 +188,11 @@ def script_of(name: str) -> str:
 
 
 def person(norm: str, key: bytes, attempt: int) -> str:
-    """norm is gender:name in lower case; as many words as the name has, first names only before a last name."""
+    """norm is gender:name in lower case (n: not known from the title); as many words as the name has, first names only
+    before a last name."""
     gender, _, name = norm.partition(":")
     stream, script, words = Stream(key, "person", norm, str(attempt)), script_of(name), name.split()
-    lasts, firsts = LAST[script].split(), FIRST[script, gender].split()
+    lasts, firsts = LAST[script].split(), " ".join(FIRST[script, g] for g in ("mf" if gender == "n" else gender)).split()
     out = [firsts[stream.below(len(firsts))] for _ in words[:-1]] + [lasts[stream.below(len(lasts))]]
     for _ in range(attempt // 2):  # the lists are short: double names give room without end
         out[-1] += "-" + lasts[stream.below(len(lasts))].lower()
@@ -200,7 +209,23 @@ class Detector:
 
 
 _TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
-_NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+"
+_RANK = "|".join(t for t, g in TITLES.items() if g == "n")
+_LOWER = "".join(c for c in map(chr, [*range(0x80, 0x530), *range(0x1E00, 0x2000)]) if c.islower())
+_LETTER = r"(?:[^\W\d_][\u0300-\u036f]*)"
+_CAPITAL = rf"[^\W\d_a-z{_LOWER}][\u0300-\u036f]*"
+#: a word (O'Brien, Müller-Schmidt; not the s of a genitive), or initials (J., J.R., J.-P.; the last dot only before more)
+_WORD = rf"{_CAPITAL}{_LETTER}+(?:['’](?!s(?!\w)){_LETTER}+|[-‐‑]{_LETTER}+)*|{_CAPITAL}['’](?!s(?!\w)){_LETTER}+(?:[-‐‑]{_LETTER}+)*"
+_MORE = rf"(?=[ \u00a0]?-?(?:(?:{INSIDE.replace(' ', '|')})[ \u00a0])*{_CAPITAL})"
+_INITIALS = rf"{_CAPITAL}(?:\.-?{_CAPITAL})*(?:\.{_MORE}|(?=\.)|{_MORE})(?!{_LETTER}{{2}})"
+_PART = rf"(?:{_WORD}|{_INITIALS})"
+_BETWEEN = rf"[ \u00a0](?:(?:{INSIDE.replace(' ', '|')})[ \u00a0])*"
+_NAME = rf"(?:(?:{INSIDE.replace(' ', '|')})[ \u00a0])*(?!(?:{_RANK})\b){_PART}(?:{_BETWEEN}(?!(?:{_TITLE})\b){_PART})*"
+
+
+def _gender(titles: str) -> str:
+    """Of the first of several titles that tells it."""
+    known = [TITLES[t] for t in re.findall(r"\w+", titles)]
+    return next((g for g in known if g != "n"), "n")
 
 
 def _always(_: str) -> bool:
@@ -232,8 +257,8 @@ DETECTORS = {
         re.compile(r"(?<![\w+])(?P<x>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)"),
         lambda m: digits_of(m["x"]), lambda x: 8 <= len(digits_of(x)) <= 15, phone, re.compile(r"\+\d|\(\d{3}\)|\d[.-]\d")),
     "person": Detector(
-        re.compile(rf"\b(?P<t>{_TITLE})\.? (?P<x>{_NAME}(?: {_NAME})?)\b"),
-        lambda m: f"{TITLES[m['t']]}:{m['x'].lower()}", _always, person, re.compile(rf"\b(?:{_TITLE})\b")),
+        re.compile(rf"\b(?P<t>(?:{_TITLE})\b\.?(?:[ \u00a0](?:{_TITLE})\b\.?)*)[ \u00a0](?P<x>{_NAME})"),
+        lambda m: f"{_gender(m['t'])}:{' '.join(m['x'].lower().split())}", _always, person, re.compile(rf"\b(?:{_TITLE})\b")),
 }
 
 
@@ -250,7 +275,29 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             free = (at == len(found) or b <= found[at][0]) and (at == 0 or found[at - 1][1] <= a)
             if free and d.holds(m[group]):
                 found.insert(at, (a, b, kind, d.normal(m)))
-    return found
+    people = [m[3] for m in found if m[2] == "person"]
+    return with_repeats(text, found, people) if people else found
+
+
+def with_repeats(text: str, found: list[tuple[int, int, str, str]], people: list[str]) -> list[tuple[int, int, str, str]]:
+    """The mentions and those of the same names without a title. A name has the gender of its first title that tells one."""
+    of: dict[str, str] = {}
+    for norm in [p for p in people if p[0] != "n"] + people:
+        of.setdefault(norm[2:], norm)
+    out = [(a, b, k, of[n[2:]] if k == "person" and n[0] == "n" else n) for a, b, k, n in found]
+    written = {text[a:b] for a, b, k, _ in found if k == "person"}
+    written = {w for w in written if re.search(f"{_LETTER}{{2}}", w)}  # initials alone mean nobody elsewhere
+    if not written:
+        return out
+    written |= {w.upper() for w in written}
+    names = "|".join(r"\s+".join(map(re.escape, w.split())) for w in sorted(written, key=lambda w: (-len(w), w)))
+    for m in re.finditer(rf"(?<!\w)(?<!\w[-‐‑'’])(?:{names})(?!\w)(?![-‐‑]\w)", text):
+        a, b = m.span()
+        at = bisect(out, (a,))
+        norm = of.get(" ".join(m[0].lower().split()))
+        if norm and (at == len(out) or b <= out[at][0]) and (at == 0 or out[at - 1][1] <= a):
+            out.insert(at, (a, b, "person", norm))
+    return out
 
 
 def laid_out(kind: str, mention: str, surrogate: str) -> str:
@@ -277,17 +324,20 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
             drawn = [DETECTORS[k].surrogate(n, key, a) for k, n, a in rows]
             yield batch.append_column("surrogate", pa.array(drawn, pa.string()))
 
-    real = entities.select("kind", F.col("norm").alias("surrogate"))
+    def shown(c: str):  # a name without its gender
+        return F.when(F.col("kind") == "person", F.substring(c, 3, 1 << 30)).otherwise(F.col(c)).alias("shown")
+
+    real = entities.select("kind", shown("norm")).distinct()
     open_ = entities.select("kind", "norm", F.lit(0).alias("attempt"))
     settled = None
     while settled is None or open_.head(1):
-        drawn = open_.mapInArrow(draw, "kind string, norm string, attempt int, surrogate string")
-        marked = drawn.join(real.withColumn("real", F.lit(True)), ["kind", "surrogate"], "left")
+        drawn = open_.mapInArrow(draw, "kind string, norm string, attempt int, surrogate string").select("*", shown("surrogate"))
+        marked = drawn.join(real.withColumn("real", F.lit(True)), ["kind", "shown"], "left")
         if settled is not None:
-            marked = marked.join(settled.select("kind", "surrogate", F.lit(True).alias("held")), ["kind", "surrogate"], "left")
+            marked = marked.join(settled.select("kind", shown("surrogate"), F.lit(True).alias("held")), ["kind", "shown"], "left")
         else:
             marked = marked.withColumn("held", F.lit(None).cast("boolean"))
-        turn = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("norm"))
+        turn = F.row_number().over(Window.partitionBy("kind", "shown").orderBy("norm"))
         good = (turn == 1) & F.col("real").isNull() & F.col("held").isNull()
         judged = cut_lineage(marked.withColumn("good", good).select("kind", "norm", "attempt", "surrogate", "good"), "draws")
         accepted = judged.where("good").select("kind", "norm", "surrogate")

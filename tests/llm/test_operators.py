@@ -460,6 +460,32 @@ def test_surrogates(spark):
     assert other[1] != out[1] and pii.without_personal_data(table(spark, []), "k").count() == 0
 
 
+@pytest.mark.parametrize("text,names", [
+    ("Frau Anna Müller-Schmidt kam", ["Anna Müller-Schmidt"]),
+    ("saw Mr Juan Carlos Garcia.", ["Juan Carlos Garcia"]),
+    ("Mr O'Brien and Mr J. Smith met", ["O'Brien", "J. Smith"]),
+    ("Dr. J.R.R. Ünal, Prof. Dr. Eva Maria von der Au", ["J.R.R. Ünal", "Eva Maria von der Au"]),
+    ("Mr Smith's dog. The end", ["Smith"]),
+    ("Mr Smith Mrs Jones", ["Smith", "Jones"]),
+    ("Herr Dr. Weber über Dr. no", ["Weber"]),
+    ("Mr John Smith came. john john Smithson, John\nSmith, JOHN SMITH and John Smith-Jones", ["John Smith", "John\nSmith", "JOHN SMITH"]),
+])
+def test_whole_names(text, names):
+    assert [text[a:b] for a, b, *_ in pii.mentions(text)] == names
+
+
+def test_names_recur_with_one_surrogate(spark):
+    text = "Dr John O'Smith-Young met Mr John O'Smith-Young; John O'Smith-Young left."
+    out = pii.without_personal_data(table(spark, [(1, text), (2, "John O'Smith-Young")]), "k").collect()
+    new = {r.doc_id: r.text for r in out}
+    m = re.fullmatch("Dr (.+) met Mr (.+); (.+) left.", new[1])
+    assert len(set(m.groups())) == 1 and "Smith" not in new[1] and "Young" not in m[1] + new[1]
+    assert new[2] == "John O'Smith-Young"  # no title in that text
+    rows = [("person", f"{g}:{a}{b}") for g in "mfn" for a in "abcdefgh" for b in "abcdefgh"]
+    drawn = pii.surrogates(spark.createDataFrame(rows, "kind string, norm string"), b"k").collect()
+    assert len(drawn) == len(rows) == len({r.surrogate[2:] for r in drawn})  # names differ, whatever the titles
+
+
 def test_surrogates_stay_distinct(spark):
     """As many entities as a short form allows: draws collide, none may share or be an entity."""
     rows = [("mail", f"{a}@x.example.com") for a in "abcdefghijklmnopqrstuvwx"] + [("social", f"123-45-{i:04d}") for i in range(300)]
