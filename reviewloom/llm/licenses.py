@@ -29,6 +29,47 @@ from reviewloom.llm.words import Words, digest_of, pieces
 #: Base phrases and their labels
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
 
+#: the common parts of the BSD licenses
+_BSD = """Redistribution and use <<beginOptional>>of <<var;words=1-8>><<endOptional>> in source and binary forms, with or
+without modification, are permitted provided that the following conditions are met: <<beginOptional>>1.<<endOptional>>
+Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. <<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+distribution. """
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY <<var;words=1-20>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+<<var;words=1-20>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"""
+
+
+def _notices(label: str, name: str, version: str) -> list[tuple[str, str]]:
+    """The standard notice of a GNU license with the version behind or before the publisher."""
+    rest = f"""<<var;words=1-8>> is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} Public License for more details. You
+should have received a copy of the GNU {name} Public License along with <<var;words=1-8>> if not"""
+    start = f"is free software you can redistribute it and/or modify it under the terms of the GNU {name} Public License"
+    return [
+        (label, f"""{start} as published by the Free Software Foundation; <<beginOptional>>either<<endOptional>> version {version}
+<<beginOptional>>of the License<<endOptional>><<beginOptional>>, or (at your option) any later version<<endOptional>>. {rest}"""),
+        (label, f"{start} version {version} as published by the Free Software Foundation. {rest}"),
+    ]
+
+
+def _creative_commons() -> list[tuple[str, str]]:
+    """Notices of all kinds and of the versions 3.0 and 4.0, by short and by full name."""
+    out = []
+    for kind in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd"):
+        for version, nd, scope in (("3.0", "NoDerivs", "Unported"), ("4.0", "NoDerivatives", "International")):
+            full = {"by": "Attribution", "sa": "ShareAlike", "nc": "NonCommercial", "nd": nd}
+            names = " ".join(full[k] for k in kind.split("-"))
+            start = "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>>"
+            out += [(f"cc-{kind}-{version}", f"{start} {n}") for n in (
+                f"CC {kind} {version}", f"Creative Commons {names} {version} <<beginOptional>>{scope}<<endOptional>> <<beginOptional>>License<<endOptional>>")]
+    return out
+
+
 #: Wording of published licenses and of the usual notices, with marks
 TEMPLATES = [
     ("mit", "<<beginOptional>>this <<var;words=1-4>> is<<endOptional>> released under the <<beginOptional>>terms of the<<endOptional>> MIT license"),
@@ -38,25 +79,37 @@ associated documentation files (the "Software"), to deal in the Software without
 limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
 and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright
 notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all
-copies or substantial portions of the Software. <<beginOptional>>THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY
+copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY
 KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE
 AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;words=1-20>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN
 AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
-DEALINGS IN THE SOFTWARE<<endOptional>>"""),
+DEALINGS IN THE SOFTWARE"""),
     ("isc", """Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose
 with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in
-all copies"""),
-    ("bsd", """Redistribution and use <<beginOptional>>of <<var;words=1-8>><<endOptional>> in source and binary forms, with or
-without modification, are permitted provided that the following conditions are met: <<beginOptional>>1.<<endOptional>>
-Redistributions of source code must retain the above copyright notice, this list of conditions and the following
-disclaimer. <<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above copyright notice,
-this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
-distribution"""),
+all copies. THE SOFTWARE IS PROVIDED "AS IS" AND <<var;words=1-20>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var;words=1-20>> BE LIABLE FOR ANY
+SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,
+WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE"""),
+    ("bsd-2-clause", _BSD + _BSD_DISCLAIMER),
+    ("bsd-3-clause", _BSD + """<<beginOptional>>3.<<endOptional>> Neither the name of <<var;words=1-20>> nor the names of
+<<var;words=1-8>> contributors may be used to endorse or promote products derived from this software without specific prior
+written permission. """ + _BSD_DISCLAIMER),
     ("apache-2.0", """licensed under the Apache license version 2 0 <<beginOptional>>(the "License") you may not use
-this file except in compliance with the License<<endOptional>>"""),
+this file except in compliance with the License <<beginOptional>>You may obtain a copy of the License at
+<<var;words=1-1>>://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express
+or implied. See the License for the specific language governing permissions and limitations under the
+License<<endOptional>><<endOptional>>"""),
     ("gpl-3.0", """this <<var;words=1-8>> is licensed under the <<beginOptional>>terms of the<<endOptional>> GNU general public license
 <<beginOptional>>as published by the Free Software Foundation either<<endOptional>> version 3"""),
-    ("cc-by-nc-4.0", "licensed under <<beginOptional>>a<<endOptional>> CC BY NC 4 0"),
+    *[t for n in [
+        ("gpl-2.0", "General", "2"), ("gpl-3.0", "General", "3"), ("lgpl-2.0", "Library General", "2"),
+        ("lgpl-2.1", "Lesser General", "2.1"), ("lgpl-3.0", "Lesser General", "3"), ("agpl-3.0", "Affero General", "3"),
+    ] for t in _notices(*n)],
+    ("mpl-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at <<var;words=1-1>>://<<beginOptional>>www.<<endOptional>>mozilla.org/MPL/2.0"""),
+    *_creative_commons(),
 ]
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

@@ -240,6 +240,30 @@ def test_license_scan(spark):
     assert licenses.license_labels(table(spark, [])).count() == 0
 
 
+def license_texts():
+    """label, text and a word of its disclaimer or conditions that must not change."""
+    marks = lambda t: re.sub(r"<<var.*?>>", "this thing", re.sub(r"<<(begin|end)Optional>>", "", t))
+    gnu = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} Public License as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} Public License for more details. You should have received a copy of the GNU {0} Public License along with this program. If not, see <https://www.gnu.org/licenses/>."
+    out = [(f"{a}gpl-{v}", gnu.format(n, v.removesuffix(".0")), "MERCHANTABILITY") for a, n, v in [
+        ("", "General", "2.0"), ("", "General", "3.0"), ("l", "Lesser General", "2.1"), ("l", "Lesser General", "3.0"), ("a", "Affero General", "3.0")]]
+    whole = {label: marks(t) for label, t in licenses.TEMPLATES if len(t) > 500}
+    out += [(n, whole[n], w) for n, w in [("mit", "NONINFRINGEMENT"), ("isc", "CONSEQUENTIAL"), ("bsd-2-clause", "PROCUREMENT"), ("bsd-3-clause", "endorse")]]
+    out += [("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", "distributed"),
+            ("cc-by-sa-4.0", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "Commons"),
+            ("cc-by-nc-nd-3.0", "Licensed under the CC BY-NC-ND 3.0", "ND")]
+    return out
+
+
+def test_whole_wording_is_mandatory():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.BASE)
+    labels = lambda text: {scanner.automata[n][0] for *_, n in scanner.scan(pa.array([text]))[2]}
+    for label, text, word in license_texts():
+        assert word in text and labels(f"a b {text} c d") == {label}
+        assert labels(text.replace(word, "changed")) == set()
+    gnu = license_texts()[1][1]
+    assert labels(gnu[: gnu.index("This program is distributed")]) == labels(gnu.replace("either version 3 of the License, or", "or")) == set()
+
+
 @pytest.mark.parametrize("bad", ["<<beginOptional>>a", "<<what>> a", "<<beginOptional>>a<<endOptional>>"])
 def test_bad_templates(bad):
     with pytest.raises(ValueError):
