@@ -15,6 +15,7 @@ from reviewloom.llm.mixing import mix_sizes
 from reviewloom.llm.pii import surrogate_texts
 from reviewloom.llm.token_counts import token_counts
 from reviewloom.llm.topk import top_products
+from reviewloom.llm.trie import prefix_trie, turn_paths
 from reviewloom.llm.urls import hosts_with_words, rule_table, url_verdicts
 
 #: of the registered queries; real use passes a secret key
@@ -199,3 +200,40 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_surrogates")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return surrogate_texts(read(spark, sf, "documents"), SURROGATE_KEY)
+
+
+@query("op11_prefix_trie", """
+WITH o AS MATERIALIZED (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+  ORDER BY turn NULLS FIRST, md5(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(CAST(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda crc, b: CASE WHEN xor(crc, b) % 2 = 1 THEN xor(xor(crc, b) >> 1, CAST(3988292384 AS BIGINT)) ELSE xor(crc, b) >> 1 END) AS BIGINT),
+    CAST(4294967295 AS BIGINT)) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM o)),
+t AS (SELECT h.conv_id, 0 AS side, p, role, text FROM h JOIN o ON o.conv_id = h.base AND p <= h
+  UNION ALL SELECT h.conv_id, 1, p, role, text FROM h JOIN o ON o.conv_id = h.conv_id AND p > h),
+l AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY side, p) AS turns FROM t GROUP BY 1),
+r AS MATERIALIZED (SELECT h.conv_id, coalesce(turns, []) AS turns FROM h LEFT JOIN l ON l.conv_id = h.conv_id),
+n AS MATERIALIZED (SELECT turns[:d] AS path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(turns) = d), '') AS ends
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM r) GROUP BY 1, 2),
+k AS (SELECT path[:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+v AS MATERIALIZED (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * len(n.path[depth].t) ELSE 0 END AS own
+  FROM n LEFT JOIN k ON k.path = n.path),
+s AS (SELECT path[:d] AS path, d AS depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(own) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM v) GROUP BY 1, 2)
+SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, sha256(v.ends) AS ends_sha256
+FROM v JOIN s ON s.path = v.path AND s.depth = v.depth LEFT JOIN n u ON v.depth > 0 AND u.depth = v.depth - 1 AND u.path = v.path[:v.depth - 1]
+""")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie(with_shared_starts(turn_paths(read(spark, sf, "conversations"))))
+
+
+def with_shared_starts(paths: DataFrame) -> DataFrame:
+    """Each conversation with its first h turns replaced by those of the first conversation of its hundred."""
+    first = paths.where("id % 100 = 0").select(F.col("id").alias("base"), F.slice("turns", 1, 5).alias("start"))
+    h = (F.crc32(F.col("id").cast("string")) % 6).cast("int")
+    both = paths.select("*", h.alias("h"), (F.col("id") - F.col("id") % 100).alias("base")).join(first, "base", "left")
+    own = F.expr("slice(turns, h + 1, size(turns))")
+    return both.select("id", F.when(F.col("start").isNull(), own).otherwise(F.concat(F.expr("slice(start, 1, h)"), own)).alias("turns"))
