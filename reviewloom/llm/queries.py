@@ -11,6 +11,7 @@ from reviewloom.llm.decontam import contamination
 from reviewloom.llm.jaccard import near_duplicates
 from reviewloom.llm.langid import language_table
 from reviewloom.llm.licenses import license_labels
+from reviewloom.llm.linededup import LineIndex
 from reviewloom.llm.mixing import mix_sizes
 from reviewloom.llm.pii import surrogate_texts
 from reviewloom.llm.token_counts import token_counts
@@ -237,3 +238,20 @@ def with_shared_starts(paths: DataFrame) -> DataFrame:
     both = paths.select("*", h.alias("h"), (F.col("id") - F.col("id") % 100).alias("base")).join(first, "base", "left")
     own = F.expr("slice(turns, h + 1, size(turns))")
     return both.select("id", F.when(F.col("start").isNull(), own).otherwise(F.concat(F.expr("slice(start, 1, h)"), own)).alias("turns"))
+
+
+@query("op12_line_dedup", """
+WITH l AS (SELECT *, unnest(range(1, len(lines) + 1)) AS p FROM (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+b AS (SELECT list_reduce(list_transform([32, 9, 10, 11, 12, 13], lambda c: chr(c)), lambda x, y: x || y) AS blanks),
+k AS MATERIALIZED (SELECT r, doc_id, p, lines[p] AS line,
+  translate(trim(lines[p], blanks), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l, b),
+n AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id <> last) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE doc_id <> last IS NOT TRUE), '')) AS kept_sha256
+FROM k LEFT JOIN n USING (key) GROUP BY r
+""")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    found = LineIndex.empty(spark).insert(docs).clean(docs)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
