@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from reviewloom.llm.alignment import alignments
 from reviewloom.llm.chat import flat, preference_examples, with_other_replies
 from reviewloom.llm.decontam import contamination
 from reviewloom.llm.jaccard import near_duplicates
@@ -255,3 +256,10 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
     docs = read(spark, sf, "documents")
     found = LineIndex.empty(spark).insert(docs).clean(docs)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    found = alignments(read(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
