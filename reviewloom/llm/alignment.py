@@ -322,7 +322,7 @@ def summed_vectors(pairs: DataFrame, load: Callable[[], PerfectHash]) -> DataFra
         if last:
             yield from vectors_of({last[0]: total}, last[1])
 
-    vectors, tasks = pairs.mapInArrow(dense, schema), (pairs.agg(F.max(F.spark_partition_id())).first()[0] or 0) + 1
+    vectors, tasks = pairs.mapInArrow(dense, schema), (pairs.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0] or 0) + 1
     while True:
         tasks = ceil(tasks / FAN)
         group = F.floor(F.col("task") / FAN) if tasks > 1 else F.lit(0).cast("long")
