@@ -7,8 +7,9 @@ counts and inserts the keys that became repeated into the filters; deleting docu
 largest remaining id where it went, and deletes the keys that are repeated no more from the filters. Each change gives
 a new index and leaves the old one as it was, so every step can be taken back, and a lost executor repeats its part.
 
-Cleaning reads the texts once against the filters; only the lines that pass are looked up in the counts, and only the
-documents that lose lines are joined with what they lose. A filter's false positives end at the exact counts.
+Cleaning reads the texts against the filters; only the lines that pass are looked up in the counts. Where the counts of all
+repeated keys fit EXACT bytes, tasks hold them too and the texts are read once, in place. Beyond that the lines that pass are
+joined with the counts, and the documents that lose lines with what they lose. False positives end at the exact counts.
 
 A line's key is the line without blanks at both ends, A-Z lower-cased; keys of fewer than `shortest` code points are never
 repeated. Keys are 128-bit digests. A repeated key loses its lines everywhere but in the largest id that holds it.
@@ -42,8 +43,8 @@ from reviewloom.session import cut_lineage
 
 #: slots of a shard's filter, four to a bucket, and the share of them that may be taken before shards double
 SLOTS, FULL = 1 << 18, 0.75
-#: bytes of filters that may be broadcast; bits of the filter of documents that lose lines
-SHIPPED, TOUCHED_BITS = 64 << 20, 1 << 26
+#: bytes of filters, and of counts of repeated keys, that may be broadcast; bits of the filter of documents that lose lines
+SHIPPED, EXACT, TOUCHED_BITS = 64 << 20, 64 << 20, 1 << 26
 
 BLANKS = np.zeros(256, bool)
 BLANKS[32] = BLANKS[9:14] = True
@@ -166,6 +167,22 @@ class Shards:
         return out
 
 
+class Counts:
+    """The repeated keys and the largest id of each, sorted by digest, behind the filters."""
+
+    def __init__(self, filters: Shards, hi: np.ndarray, lo: np.ndarray, last: np.ndarray):
+        order = np.lexsort((lo, hi))
+        self.filters, self.hi, self.lo, self.last = filters, hi[order], lo[order], last[order]
+
+    def dropped(self, hi: np.ndarray, lo: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Which lines lie in another document than the one that keeps them."""
+        out = np.zeros(len(hi), bool)
+        at = np.flatnonzero(self.filters.has(hi, lo)) if len(self.hi) else np.zeros(0, np.int64)
+        place = np.minimum(np.searchsorted(self.hi, hi[at]), len(self.hi) - 1)
+        out[at] = (self.hi[place] == hi[at]) & (self.lo[place] == lo[at]) & (self.last[place] != doc[at])
+        return out
+
+
 KEY = ["hi", "lo"]
 REFERENCES = "hi long, lo long, docs array<long>"
 FILTERS = "shard int, filter binary, over binary"
@@ -315,17 +332,23 @@ class LineIndex:
             old, changes = old.limit(0), self.repeated().select("hi", "lo", F.lit(1).alias("sign"))
         return replace(self, shards=shards, filters=cut_lineage(changed_filters(old, changes, shards, self.slots), "filters"))
 
-    def load(self) -> Callable[[], Shards] | None:
-        """The filters for tasks, if all shards together are small enough to broadcast."""
+    def load(self) -> Shards | None:
+        """The filters, if all shards together are small enough to broadcast."""
         if self.shards * self.slots * 2 > SHIPPED:
             return None
-        found = {r["shard"]: Cuckoo.unpack(bytes(r["filter"]), bytes(r["over"])) for r in self.filters.collect()}
-        return ship(self.spark, Shards(self.shards, found))
+        return Shards(self.shards, {r["shard"]: Cuckoo.unpack(bytes(r["filter"]), bytes(r["over"])) for r in self.filters.collect()})
 
     def clean(self, docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
         """id, n_lines, n_dropped and kept (the text of the other lines) of every row. Runs jobs when called."""
         rows = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{id}`").cast("long").alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-        asked = references(rows.select("doc", "text"), self.shortest, self.load())
+        kind = f"id {dict(rows.dtypes)['id']}, n_lines long, n_dropped long, kept string"
+        filters = self.load()
+        if filters and self.repeated().count() * 24 <= EXACT:
+            found = self.repeated().select("hi", "lo", "last").toArrow()
+            hi, lo, last = (found.column(c).to_numpy().astype(np.int64) for c in ("hi", "lo", "last"))
+            counts = ship(self.spark, Counts(filters, hi.view(np.uint64), lo.view(np.uint64), last))
+            return rows.mapInArrow(without_lines(self.shortest, counts), kind).withColumnRenamed("id", id)
+        asked = references(rows.select("doc", "text"), self.shortest, filters and ship(self.spark, filters))
         found = asked.join(self.repeated().select("hi", "lo", "last"), KEY).select(F.explode("docs").alias("doc"), "hi", "last")
         drops = cut_lineage(found.where("doc <> last").groupBy("doc").agg(F.collect_set("hi").alias("drop")), "drops")
         keys = drops.select(F.col("doc").cast("string").alias("key"))
@@ -341,33 +364,35 @@ class LineIndex:
         marked = rows.withColumn("maybe", maybe.asNondeterministic()(F.col("doc").cast("string")))
         breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
         whole = marked.where("not maybe").select("id", breaks.cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), F.col("text").alias("kept"))
-        kind = dict(rows.dtypes)["id"]
-        cut = marked.where("maybe").join(drops, "doc", "left").select("id", "text", "drop").mapInArrow(
-            drop_lines(self.shortest), f"id {kind}, n_lines long, n_dropped long, kept string"
-        )
+        cut = marked.where("maybe").join(drops, "doc", "left").select("id", "text", "drop").mapInArrow(without_lines(self.shortest), kind)
         return whole.unionByName(cut).withColumnRenamed("id", id)
 
 
-def drop_lines(shortest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def without_lines(shortest: int, load: Callable[[], Counts] | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Texts without the lines that the counts drop; without counts, those that the row's list `drop` holds."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = load and load()
         for piece in pieces(batches, "text"):
+            texts = piece.column("text").to_pylist()
             lines = Lines(piece.column("text"), shortest)
-            dropped = np.zeros(len(lines.starts), bool)
-            first = np.searchsorted(lines.owner[lines.keyed], np.arange(len(piece) + 1))
-            drop = piece.column("drop")
-            data, line = lines.data.tobytes(), np.cumsum(lines.counts) - lines.counts
-            kept = []
-            for i in range(len(piece)):
-                here = slice(first[i], first[i + 1])
-                if drop[i].is_valid:
-                    gone = drop[i].values.to_numpy().view(np.uint64)
-                    dropped[lines.keyed[here][np.isin(lines.hi[here], gone)]] = True
+            owner, dropped = lines.owner[lines.keyed], np.zeros(len(lines.starts), bool)
+            if counts:
+                doc = piece.column("doc")
+                there = np.asarray(doc.is_valid())[owner]
+                dropped[lines.keyed] = counts.dropped(lines.hi, lines.lo, doc.fill_null(0).to_numpy()[owner]) & there
+            else:
+                first, drop = np.searchsorted(owner, np.arange(len(piece) + 1)), piece.column("drop")
+                for i in np.flatnonzero(np.asarray(drop.is_valid())):
+                    here = slice(first[i], first[i + 1])
+                    dropped[lines.keyed[here][np.isin(lines.hi[here], drop[i].values.to_numpy().view(np.uint64))]] = True
+            line = np.cumsum(lines.counts) - lines.counts
+            n_dropped = np.add.reduceat(dropped.astype(np.int64), line)
+            data = lines.data.tobytes()
+            for i in np.flatnonzero(n_dropped).tolist():
                 stay = line[i] + np.flatnonzero(~dropped[line[i]:line[i] + lines.counts[i]])
-                spans = zip(lines.starts[stay].tolist(), lines.ends[stay].tolist())
-                kept.append(b"\n".join(data[a:b] for a, b in spans).decode())
+                texts[i] = b"\n".join(data[a:b] for a, b in zip(lines.starts[stay].tolist(), lines.ends[stay].tolist())).decode()
             yield pa.RecordBatch.from_arrays([
-                piece.column("id"), pa.array(lines.counts, pa.int64()),
-                pa.array(np.add.reduceat(dropped.astype(np.int64), line), pa.int64()), pa.array(kept, pa.string()),
+                piece.column("id"), pa.array(lines.counts, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(texts, pa.string()),
             ], ["id", "n_lines", "n_dropped", "kept"])
 
     return cut

@@ -94,9 +94,10 @@ def test_equal_fingerprints_are_counted():
     assert (own.table != 0).sum() == 2 and own.has(hi, lo).all()
 
 
-@pytest.mark.parametrize("shipped", [64 << 20, 0])
-def test_inserts_and_deletions_can_be_taken_back(spark, monkeypatch, shipped):
+@pytest.mark.parametrize("shipped,exact", [(64 << 20, 64 << 20), (64 << 20, 0), (0, 0)])
+def test_inserts_and_deletions_can_be_taken_back(spark, monkeypatch, shipped, exact):
     monkeypatch.setattr(linededup, "SHIPPED", shipped)
+    monkeypatch.setattr(linededup, "EXACT", exact)
     first, second = documents(1, 60), documents(2, 50, 60)
     empty = LineIndex.empty(spark, slots=16)  # shards must double
     one = empty.insert(table(spark, first))
@@ -128,7 +129,9 @@ def test_filters_hold_just_the_repeated_keys(spark):
     assert state(gone) == [] and not any(any(r["filter"]) for r in gone.filters.collect())
 
 
-def test_edges(spark):
+@pytest.mark.parametrize("exact", [64 << 20, -1])
+def test_edges(spark, monkeypatch, exact):
+    monkeypatch.setattr(linededup, "EXACT", exact)
     line = "This line is in all documents\r"
     long = "\n".join(f"line {i} of a very long text" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, "\n"), (4, line), (5, f"{line}\n{line}\n\n{line}"), (5, line + "\nmore"), (6, " " + line.lower()),
