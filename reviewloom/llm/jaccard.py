@@ -427,14 +427,30 @@ def near_duplicates(
     return found.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, id: str = "doc_id", **options) -> DataFrame:
-    """The documents with the smallest id of each class, each id once; all columns, rows without an id stay.
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents with the smallest id of each class; all columns, rows without an id stay. Runs jobs when called.
+
+    Where ids repeat, each (id, text) is a document of its own, so a row only goes if its own text has a near copy that
+    stays; of rows of one id and text one stays.
+    """
+    classes = cut_lineage(near_duplicates(docs, id=id, text=text, **options).where(F.col(id).isNotNull()), "classes")
+    if not classes.groupBy(id).count().where("count > 1").head(1):
+        return _without(docs, classes, id)
+    number = F.lpad((F.col(f"`{id}`").cast("decimal(38,0)") + F.lit("9223372036854775808").cast("decimal(38,0)")).cast("string"), 20, "0")
+    place = number if docs.schema[id].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint") else F.col(f"`{id}`").cast("string")
+    own = F.concat(place, F.lit(" "), F.coalesce(F.md5(F.col(f"`{text}`").cast("string")), F.lit("")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"), own.alias("key"))
+    classes = cut_lineage(near_duplicates(rows, id="key", **options).where("key is not null"), "classes")
+    return _without(rows, classes, "key").select("row.*")
+
+
+def _without(docs: DataFrame, classes: DataFrame, id: str) -> DataFrame:
+    """The rows whose id is its class, each id once, and the rows without an id.
 
     Ids that are dropped or repeat fill a Bloom filter of at most MAYBE_BITS; documents that fail it stay without a
     shuffle, the others (with those it takes in wrongly) are joined with the exact list.
     """
     spark = docs.sparkSession
-    classes = cut_lineage(near_duplicates(docs, id=id, **options).where(F.col(id).isNotNull()), "classes")
     dropped = classes.where(F.col(id) != F.col("component_id")).select(F.col(id).alias("_gone")).distinct()
     repeated = classes.groupBy(F.col(id).alias("_gone")).count().where("count > 1").select("_gone")
     keys = cut_lineage(dropped.unionByName(repeated).distinct().select(F.col("_gone").cast("string").alias("key")), "special")
