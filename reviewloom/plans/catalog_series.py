@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewloom.operators import aggregates as A, categories as C, cohorts as H, filters as P, series as W
+from reviewloom.operators import aggregates as A, categories as C, cohorts as H, filters as P, linkage as L, series as W
 from reviewloom.operators.checkins import checkin_profile, total_checkins
 from reviewloom.operators.overlap import customer_overlap, overlap_counts
 from reviewloom.operators.ranking import top_overlap
@@ -275,3 +275,50 @@ SELECT a.component AS cluster_i, o.i, b.component AS cluster_j, o.j, round(share
 def _(spark, sf):
     overlap = _overlap(spark, sf)
     return C.ordered_overlap(overlap, C.category_clusters(overlap, 1.0)).withColumn("share", r6("share"))
+
+
+_LEVELS = "WITH RECURSIVE " + _KEPT + """,
+d AS MATERIALIZED (SELECT x.i AS a, y.i AS b, round(sqrt(sum((x.share - y.share) * (x.share - y.share))), 9) AS distance
+ FROM o x JOIN o y ON x.j = y.j AND x.i < y.i GROUP BY 1, 2),
+h AS MATERIALIZED (SELECT distance AS height, row_number() OVER (ORDER BY distance) AS level FROM (SELECT DISTINCT distance FROM d)),
+e AS MATERIALIZED (SELECT level, a, b FROM d JOIN h ON distance <= height UNION ALL SELECT level, b, a FROM d JOIN h ON distance <= height),
+w AS (SELECT level, categories_value AS i, categories_value AS r FROM k, h UNION SELECT w.level, w.i, e.b FROM w JOIN e ON e.level = w.level AND e.a = w.r),
+l AS MATERIALIZED (SELECT level, i, min(r) AS leader FROM w GROUP BY 1, 2 UNION ALL SELECT 0, categories_value, categories_value FROM k),
+s AS (SELECT level + 1 AS level, leader AS i, count(*) AS own FROM l GROUP BY 1, 2),
+g AS (SELECT i AS j, min(level) AS level FROM l WHERE leader <> i GROUP BY 1),
+m AS MATERIALIZED (SELECT row_number() OVER (ORDER BY height, l.leader, g.j) AS step, l.leader AS i, g.j, height, v.own AS own,
+  u.own + sum(v.own) OVER (PARTITION BY g.level, l.leader ORDER BY g.j) AS size
+ FROM g JOIN l ON l.level = g.level AND l.i = g.j JOIN h ON h.level = g.level JOIN s v ON v.level = g.level AND v.i = g.j
+ JOIN s u ON u.level = g.level AND u.i = l.leader)"""
+
+
+def _linkage(spark, sf):
+    return L.linkage(_overlap(spark, sf, dense=False))
+
+
+@query("o3_merge_tree", _LEVELS + " SELECT step, i, j, round(height, 6) AS height, CAST(size AS BIGINT) AS size FROM m")
+def _(spark, sf):
+    merges, _leaves = _linkage(spark, sf)
+    return merges.select("step", "i", "j", r6("height").alias("height"), "size")
+
+
+_LEAVES = _LEVELS + """,
+q AS MATERIALIZED (SELECT m.*, coalesce(max(step) OVER (PARTITION BY i ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS i_step,
+  coalesce((SELECT max(x.step) FROM m x WHERE x.i = m.j), 0) AS j_step FROM m),
+t AS (SELECT step, i AS name, 0 AS position FROM (SELECT * FROM q ORDER BY step DESC LIMIT 1)
+ UNION ALL SELECT CASE WHEN side = 0 THEN i_step ELSE j_step END, CASE WHEN side = 0 THEN q.i ELSE q.j END,
+  CAST(position + CASE WHEN (side = 0) = (i_step <= j_step) THEN 0 WHEN side = 0 THEN own ELSE size - own END AS INTEGER)
+ FROM t JOIN q ON q.step = t.step CROSS JOIN (VALUES (0), (1)) z(side)),
+f AS (SELECT name AS i, CAST(position AS BIGINT) AS position FROM t WHERE step = 0)"""
+
+
+@query("o4_leaf_order", _LEAVES + " SELECT i, position FROM f")
+def _(spark, sf):
+    return _linkage(spark, sf)[1]
+
+
+@query("o4_overlap_by_leaf", _LEAVES + """
+SELECT x.position AS i_position, y.position AS j_position, o.i, o.j, round(share, 6) AS share FROM o JOIN f x ON x.i = o.i JOIN f y ON y.i = o.j""")
+def _(spark, sf):
+    overlap = _overlap(spark, sf)
+    return L.reordered(overlap, L.linkage(overlap)[1]).withColumn("share", r6("share"))
