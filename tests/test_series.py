@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import Window as W, functions as F
@@ -117,9 +118,10 @@ def test_competitors_share_city_and_category(spark):
         [("a", "x"), ("b", "x"), ("c", "x"), ("d", "y")], "business_id string, city string")
     cats = spark.createDataFrame(
         [("a", "p"), ("a", "q"), ("b", "q"), ("c", "r"), ("d", "p")], "business_id string, categories_value string")
-    focal, peers = series.peer_groups(business, cats)
+    focal, members, peers = series.peer_groups(business, cats)
     got = {}
-    for row in focal.join(peers.withColumnRenamed("business_id", "peer"), "peer_group").collect():
+    both = focal.join(peers.join(members.withColumnRenamed("business_id", "peer"), ["city", "_set"]), "peer_group")
+    for row in both.collect():
         got.setdefault(row.business_id, set()).add(row.peer)
     assert got == {"a": {"a", "b"}, "b": {"a", "b"}, "c": {"c"}, "d": {"d"}}
 
@@ -128,9 +130,9 @@ def test_businesses_with_the_same_peers_share_a_group(spark):
     business = spark.createDataFrame([(i, "x") for i in range(30)], "business_id int, city string")
     cats = spark.createDataFrame(
         [(i, c) for i in range(30) for c in ("Restaurants", f"c{i}")], "business_id int, categories_value string")
-    focal, peers = series.peer_groups(business, cats)
+    focal, members, peers = series.peer_groups(business, cats)
     assert focal.select("peer_group").distinct().count() == 1
-    assert peers.count() == 30
+    assert peers.count() == members.count() == 30
 
 
 def test_top_n_keeps_ties(spark):
@@ -143,3 +145,62 @@ def test_cohorts_leave_out_small_businesses(spark):
     rows += [("small", dt.date(2015, 1, 1), f"{i:04d}", 3) for i in range(500)]
     got = cohorts.age_cohorts(spark.createDataFrame(rows, "business_id string, date date, review_id string, stars int")).collect()
     assert [tuple(r) for r in got] == [("big", 1.0, 5.0, 5.0)]
+
+
+def competitor_tables(spark, seed=4):
+    """Businesses of two cities with overlapping categories, and reviews of few days with ids dealt over all businesses."""
+    rng = np.random.default_rng(seed)
+    business = [(f"b{i:02d}", "xyz"[i % 2] if i else None) for i in range(20)]
+    cats = [(b, c) for b, _ in business for c in rng.choice(list("pqrstu"), 2, replace=False)]
+    rows = [(business[int(rng.integers(20))][0], dt.date(2015, 1, 1) + dt.timedelta(days=int(rng.integers(12)) ** 2), f"r{i:05d}", int(rng.integers(1, 6)))
+            for i in rng.permutation(3000)]
+    return (spark.createDataFrame(rows, "business_id string, date date, review_id string, stars int").repartition(5),
+            spark.createDataFrame(business, "business_id string, city string"),
+            spark.createDataFrame(cats, "business_id string, categories_value string"), rows, business, cats)
+
+
+@pytest.mark.parametrize("peer_rows", [series.PEER_ROWS, 0])
+@pytest.mark.parametrize("day_rows", [series.DAY_ROWS, 40])
+def test_competitor_trend_equals_pandas(spark, monkeypatch, peer_rows, day_rows):
+    """With long days cut in pieces or not, with peers broadcast or masks."""
+    monkeypatch.setattr(series, "DAY_ROWS", day_rows)
+    plain = series.competitor_days
+    monkeypatch.setattr(series, "competitor_days", lambda *args: plain(*args, peer_rows=peer_rows))
+    review, business, biz_cat, rows, businesses, cats = competitor_tables(spark)
+    got = series.competitor_trend(review, business, biz_cat, "2015-01-03").toPandas()
+    own = {b: {c for x, c in cats if x == b} for b, _ in businesses}
+    pdf = pd.DataFrame(rows, columns=["business_id", "date", "review_id", "stars"])
+    city = dict(businesses)
+    assert set(got.business_id) == {b for b in own if city[b]}
+    for b in ("b01", "b02", "b13"):
+        peers = [p for p in own if city[p] == city[b] and own[p] & own[b]]
+        one = pdf[pdf.business_id.isin(peers)].sort_values(["date", "review_id"])
+        one["avg"] = one.stars.ewm(span=28).mean()
+        one["date"] = pd.to_datetime(one.date)
+        want = one.groupby("date").avg.last().resample("D").ffill()["2015-01-03":]
+        mine = got[got.business_id == b].sort_values("date")
+        assert list(pd.to_datetime(mine.date)) == list(want.index)
+        assert abs(mine.avg_rating.to_numpy() - want.to_numpy()).max() < 1e-9
+
+
+@pytest.mark.parametrize("day_rows", [series.DAY_ROWS, 30])
+@pytest.mark.parametrize("span", [1, 5])
+def test_rating_trend_of_long_days(spark, monkeypatch, day_rows, span):
+    monkeypatch.setattr(series, "DAY_ROWS", day_rows)
+    review, *_, rows, _, _ = competitor_tables(spark, 9)
+    one_day = review.withColumn("business_id", F.lit("hot"))
+    got = series.rating_trend(one_day, "2015-01-01", span).toPandas().sort_values("date")
+    pdf = pd.DataFrame(rows, columns=["business_id", "date", "review_id", "stars"]).sort_values(["date", "review_id"])
+    pdf["avg"] = pdf.stars.ewm(span=span).mean()
+    pdf["date"] = pd.to_datetime(pdf.date)
+    want = pdf.groupby("date").avg.last().resample("D").ffill()
+    assert abs(got.avg_rating.to_numpy() - want.to_numpy()).max() < 1e-9
+
+
+def test_repeats_of_reviews_are_not_shuffled(spark):
+    """Between the one exchange of reviews and the summaries no exchange sees a review per peer group."""
+    review, business, biz_cat, *_ = competitor_tables(spark)
+    focal, members, peers = series.peer_groups(business, biz_cat)
+    plan = series.competitor_days(review, members, peers, 0.9)._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("peer_group") if "Exchange hashpartitioning(city" not in plan else plan.index("Exchange hashpartitioning(city")]
+    assert "Window" in above and "Exchange hashpartitioning" not in above
