@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window as W, functions as F
 
 from reviewloom.operators import corpus as T, recommend as M, reviewwords as R, topics as L
 from reviewloom.operators.checkins import total_checkins
@@ -60,7 +61,7 @@ SELECT review_id, business_id, true AS adds_up, true AS topic_is_largest FROM v_
 WHERE review_id IN (SELECT review_id FROM dtm WHERE term IN (SELECT term FROM tt))""")
 def _(spark, sf):
     dtm = cut_lineage(T.prune_bigrams(T.bigram_dtm(V.text_review(spark, sf), sparsity=None, stem=False), 10, stop=[]), "bigrams")
-    probs = L.topic_probs(L.fit_topics(dtm, 8, seeds=L.SEEDS[:1]), dtm, V.text_review(spark, sf))
+    probs = L.topic_probs(L.fit_topics(dtm, 8), dtm, V.text_review(spark, sf))
     cols = [F.col(f"topic_{i + 1}_prob") for i in range(8)]
     return probs.select(
         "review_id", "business_id", (F.abs(sum(cols[1:], cols[0]) - 1) < 1e-6).alias("adds_up"),
@@ -72,7 +73,37 @@ def _(spark, sf):
 def _(spark, sf):
     dtm = cut_lineage(V.text_review(spark, sf).select("review_id", "business_id").join(_unigrams(spark, sf), "review_id"), "words")
     bow = cut_lineage(T.bow_by_business(dtm), "business-words")
-    return L.topic_terms(L.fit_topics(bow, 5, seeds=L.SEEDS[:1], doc="business_id"), 6)
+    return L.topic_terms(L.fit_topics(bow, 100, doc="business_id"), 6)
+
+
+@query("t18_vectors_hold_all_counts", _PLAIN_BIGRAMS + """
+SELECT review_id, term, CAST(sum(n) AS BIGINT) AS n, (SELECT count(*) FROM tt) AS terms FROM dtm WHERE term IN (SELECT term FROM tt) GROUP BY 1, 2""")
+def _(spark, sf):
+    dtm = cut_lineage(T.prune_bigrams(T.bigram_dtm(V.text_review(spark, sf), sparsity=None, stem=False), 10, stop=[]), "bigrams")
+    terms, size = L.term_table(dtm)
+    counts = vector_to_array(F.col("features"))
+    cells = L.doc_vectors(dtm, terms, size).select("review_id", F.posexplode(counts).alias("index", "n")).filter("n <> 0")
+    return cells.join(terms, "index").select("review_id", "term", F.col("n").cast("long").alias("n"), F.lit(size).cast("long").alias("terms"))
+
+
+# what must hold for the ten topics of all documents, best of five starts
+@query("t19_ranks_of_ten_topics", _PLAIN_BIGRAMS + """
+SELECT topic, rank, true AS in_order, true AS is_term FROM (SELECT CAST(unnest(range(1, 11)) AS INTEGER) AS topic)
+CROSS JOIN (SELECT CAST(unnest(range(1, 1 + least(10, (SELECT count(*) FROM tt)))) AS INTEGER) AS rank)""")
+def _(spark, sf):
+    dtm = cut_lineage(T.prune_bigrams(T.bigram_dtm(V.text_review(spark, sf), sparsity=None, stem=False), 10, stop=[]), "bigrams")
+    terms = L.topic_terms(L.fit_topics(dtm, 10), 10)
+    before = F.lag("weight").over(W.partitionBy("topic").orderBy("rank"))
+    known = dtm.select("term").distinct().withColumn("known", F.lit(True))
+    ranked = terms.join(known, "term", "left").withColumn("before", before)
+    return ranked.select(
+        "topic", "rank", F.coalesce(F.col("before") >= F.col("weight"), F.lit(True)).alias("in_order"), F.coalesce("known", F.lit(False)).alias("is_term")
+    )
+
+
+@query("t18_t19_ten_topics")
+def _(spark, sf):
+    return L.topic_terms(L.fit_topics(_unigrams(spark, sf), 10), 10, wide=True)
 
 
 @query("t22_ranks_of_all_users", """

@@ -339,11 +339,6 @@ def _pruned(spark, sf):
     return T.prune_bigrams(_bigrams(spark, sf), 10)
 
 
-@query("t21_prune_bigrams", "WITH " + _PRUNED + " SELECT * FROM pr")
-def _(spark, sf):
-    return _pruned(spark, sf)
-
-
 @query("f10_drop_empty_docs", "WITH " + _PRUNED + " SELECT review_id, business_id FROM v_text_review WHERE review_id IN (SELECT review_id FROM pr)")
 def _(spark, sf):
     docs = V.text_review(spark, sf).select("review_id", "business_id")
@@ -355,3 +350,6 @@ def _(spark, sf):
     return P.drop_terms(_dtm(spark, sf), ["con", "las", "los"])
 
 
+@query("t21_prune_bigrams", "WITH " + _PRUNED + " SELECT * FROM pr")
+def _(spark, sf):
+    return _pruned(spark, sf)

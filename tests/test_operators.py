@@ -294,10 +294,22 @@ def test_a_term_of_all_documents_is_spread(spark):
             spark.conf.unset(name)
 
 
-def test_topics_refuse_to_drop_terms(spark):
-    from reviewloom.operators.topics import vocabulary
+def test_vectors_hold_the_counts(spark):
+    from reviewloom.operators.topics import doc_vectors, term_table
 
-    dtm = spark.createDataFrame([(1, "a", 2), (1, "b", 1)], "review_id int, term string, n int")
-    assert vocabulary(dtm) == ["a", "b"]
-    with pytest.raises(ValueError):
-        vocabulary(dtm, 1)
+    rows = [(1, "a", 2), (1, "b", 1), (1, "a", 3), (2, "c", 4), (3, "new", 1), (4, None, 5), (2, "b", 0)]
+    dtm = spark.createDataFrame(rows, "review_id int, term string, n long")
+    terms, size = term_table(dtm.filter("term <> 'new'"))
+    names = {r["index"]: r.term for r in terms.collect()}
+    got = {r.review_id: {names[i]: x for i, x in zip(r.features.indices.tolist(), r.features.values)} for r in doc_vectors(dtm, terms, size).collect()}
+    assert size == 3 and got == {1: {"a": 5.0, "b": 1.0}, 2: {"c": 4.0}}
+
+
+def test_topics_of_very_many_terms(spark):
+    """Terms are a table; one document says all of them."""
+    from reviewloom.operators.topics import fit_topics, topic_terms
+
+    one = spark.range(300_000).select(F.lit("all").alias("review_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("term"), F.lit(1).alias("n"))
+    few = spark.range(2000).select((F.col("id") % 50).cast("string").alias("review_id"), F.concat(F.lit("t"), (F.col("id") % 70).cast("string")).alias("term"), F.lit(30).alias("n"))
+    fitted = fit_topics(one.unionByName(few), 2, seeds=[5], iterations=2)
+    assert fitted.size == 300_000 and topic_terms(fitted, 3).count() == 6
