@@ -46,6 +46,7 @@ from reviewloom.session import cut_lineage
 #: pairs of a shard; of a block; that a task gathers before it sends them; vectors that one task of the tree sums
 SHARD, BLOCK, PAIRS, FAN = 1 << 16, 1 << 23, 1 << 21, 16
 BLANK_RUN = 100_000
+NO_IDS = np.zeros(0, np.int32)
 
 
 class Tokenizers:
@@ -90,19 +91,19 @@ class Tokenizers:
         self.__dict__.update(state)
         self.start()
 
-    def encode_a(self, text: str) -> list[int]:
+    def encode_a(self, text: str) -> np.ndarray:
         if len(text) > BLANK_RUN and re.search(rf"\s{{{BLANK_RUN}}}", text):
             import tokenizers
 
             library = tokenizers.Tokenizer.from_str(self.a_json)
             library.encode_special_tokens = True
-            return library.encode(text, add_special_tokens=False).ids
-        return self.a.encode_ordinary(text)
+            return np.array(library.encode(text, add_special_tokens=False).ids, np.int32)
+        return np.array(self.a.encode_ordinary(text), np.int32)
 
-    def encode_b(self, texts: list[str]) -> list[list[int]]:
+    def encode_b(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; empty where the tokens don't spell a blank and the text."""
         out, spell = self.b.encode(texts, num_threads=1), self.b_bytes.__getitem__
-        return [ids if b"".join(map(spell, ids)) == b" " + t.encode() else [] for ids, t in zip(out, texts)]
+        return [np.array(ids if b"".join(map(spell, ids)) == b" " + t.encode() else [], np.int32) for ids, t in zip(out, texts)]
 
 
 class Aligned:
@@ -112,18 +113,19 @@ class Aligned:
     def __init__(self, texts: list[str | None], tokenizers: Tokenizers):
         here = [i for i, t in enumerate(texts) if t]
         b = dict(zip(here, tokenizers.encode_b([texts[i] for i in here])))
-        a = {i: tokenizers.encode_a(" " + texts[i]) if b[i] else [] for i in here}
-        self.a_ids, self.a_first = flat([a.get(i, []) for i in range(len(texts))])
-        self.b_ids, self.b_first = flat([b.get(i, []) for i in range(len(texts))])
+        a = {i: tokenizers.encode_a(" " + texts[i]) for i in here if len(b[i])}
+        self.a_ids, self.a_first = flat([a.get(i, NO_IDS) for i in range(len(texts))])
+        self.b_ids, self.b_first = flat([b.get(i, NO_IDS) for i in range(len(texts))])
         a_ends, b_ends = np.cumsum(tokenizers.a_lengths[self.a_ids]), np.cumsum(tokenizers.b_lengths[self.b_ids])
-        ends = np.concatenate([a_ends, b_ends])
-        ends.sort(kind="stable")
-        ends = ends[np.append(ends[1:] != ends[:-1], True)[:len(ends)]]
-        self.link_a, self.link_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        # a mark at the last byte of each token; a link ends at each marked byte
+        a_marks, b_marks = np.zeros((2, a_ends[-1] if len(a_ends) else 0), np.uint8)
+        a_marks[a_ends - 1] = b_marks[b_ends - 1] = 1
+        ends = np.flatnonzero(a_marks | b_marks)
+        a_here, b_here = a_marks[ends], b_marks[ends]
+        self.link_a, self.link_b = np.cumsum(a_here, dtype=np.int64) - a_here, np.cumsum(b_here, dtype=np.int64) - b_here
         #: links after which both tokens end
-        self.cuts = (a_ends[self.link_a] == ends) & (b_ends[self.link_b] == ends)
-        bytes_before = np.append(0, a_ends)[self.a_first]
-        self.l_first = np.searchsorted(ends, bytes_before, "right")
+        self.cuts = (a_here & b_here).astype(bool)
+        self.l_first = np.searchsorted(ends, np.append(0, a_ends)[self.a_first])
         self.codes = self.a_ids[self.link_a] * tokenizers.b_size + self.b_ids[self.link_b]
 
     def owners(self) -> np.ndarray:
@@ -138,35 +140,28 @@ class Aligned:
     def groups(self, tokens: np.ndarray) -> list[str]:
         """`a1,a2|b1;a3|b2,b3` of each text; tokens: the strings of `group_strings`."""
         n_a, n_b = len(self.a_ids), len(self.b_ids)
-        last_a, last_b = np.zeros(n_a, bool), np.zeros(n_b, bool)
-        last_a[self.link_a[self.cuts]] = True
-        last_b[self.link_b[self.cuts]] = True
+        last_a, last_b = np.zeros((2, max(n_a, n_b)), np.int64)
+        last_a, last_b = last_a[:n_a], last_b[:n_b]
+        last_a[self.link_a[self.cuts]] = last_b[self.link_b[self.cuts]] = 1
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         b_until, a_until = np.append(0, np.flatnonzero(last_b) + 1), np.append(0, np.flatnonzero(last_a) + 1)
         out = np.empty(n_a + n_b, np.int64)
-        half = len(tokens) // 2
-        out[np.arange(n_a) + b_until[group_a]] = self.a_ids + last_a * half
-        out[np.arange(n_b) + a_until[group_b + 1]] = self.b_ids + last_b * half
-        side = np.zeros(n_a + n_b, np.int64)
-        side[np.arange(n_b) + a_until[group_b + 1]] = 1
-        parts = tokens[out, side].tolist()
+        quarter = len(tokens) // 4
+        out[np.arange(n_a) + b_until[group_a]] = self.a_ids + last_a * quarter
+        out[np.arange(n_b) + a_until[group_b + 1]] = self.b_ids + (2 + last_b) * quarter
+        parts = tokens[out].tolist()
         bounds = (self.a_first + self.b_first).tolist()
         return ["".join(parts[x:y])[:-1] for x, y in zip(bounds, bounds[1:])]
 
 
 def group_strings(size: int) -> np.ndarray:
-    """[id + last * size, side]: the id with what follows it: a comma, or at the end of a group | (A) or ; (B)."""
-    out = np.empty((2 * size, 2), object)
-    for i in range(size):
-        out[i] = f"{i},"
-        out[size + i] = f"{i}|", f"{i};"
-    return out
+    """Each id with what follows it: a comma or, as the last of a group, | for A (second quarter) and ; for B (fourth)."""
+    return np.array([f"{i}{end}" for end in ",|,;" for i in range(size)], object)
 
 
-def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.array([0, *map(len, lists)], np.int64)
-    parts = [np.array(x, np.int64) for x in lists if x]
-    return (np.concatenate(parts) if parts else np.zeros(0, np.int64)), np.cumsum(sizes)
+def flat(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in a row, and the bounds of each array."""
+    return np.concatenate([NO_IDS, *arrays]).astype(np.int64), np.cumsum([0, *map(len, arrays)])
 
 
 class PerfectHash:
