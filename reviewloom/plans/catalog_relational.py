@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from reviewloom.functions import columns as X
-from reviewloom.operators import aggregates as A, cohorts, filters as P, joins as J, ranking as K
+from reviewloom.operators import aggregates as A, cohorts, filters as P, joins as J, names as N, ranking as K
 from reviewloom.operators.checkins import total_checkins
 from reviewloom.plans import fixtures as V
 from reviewloom.plans.registry import query
@@ -148,6 +148,17 @@ def _(spark, sf):
     return P.search_names(V.business(spark, sf), "R_d%g", wildcards=True).select("business_id", "name")
 
 
+@query("f2_search_by_index", """
+SELECT t.text AS asked, name, business_id, city, state, round(stars, 6) AS stars, review_count FROM v_business JOIN
+ (VALUES ('red r', false), ('r_d%ing', true), ('gr', false), ('nowhere', false)) t(text, wild)
+ ON CASE WHEN wild THEN lower(name) LIKE '%' || t.text || '%' ELSE contains(lower(name), t.text) END""")
+def _(spark, sf):
+    index = N.build_name_index(V.business(spark, sf), scratch_path(spark, "names"))
+    asked = [("red r", False), ("r_d%ing", True), ("gr", False), ("nowhere", False)]
+    found = [N.search_index(index, text.upper(), wild).drop("categories").withColumn("asked", F.lit(text)) for text, wild in asked]
+    return P.union_parts(found).withColumn("stars", r6("stars"))
+
+
 @query("f3_star_bands", """
 SELECT business_id, count(*) AS all_reviews, count(*) FILTER (stars >= 4) AS good, count(*) FILTER (stars < 3) AS bad
 FROM v_review GROUP BY 1""")
