@@ -1,6 +1,7 @@
 """Operators on small hand-made tables: brute force, and nulls, empty and very long texts, ties, repeated rows, empty
 tables and columns whose names clash with those used inside."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -352,16 +353,25 @@ def test_jaccard_blocks(spark, monkeypatch):
 
 
 def test_one_of_each(spark):
-    rows = near_copies(3, 200) + EDGE
+    rows = near_copies(3, 200)
     docs = table(spark, rows)
     kept = jaccard.one_of_each(docs, size=2)
     assert kept.columns == docs.columns
-    smallest = {i for i, _, c in classes(rows, 2, 80) if i == c and i is not None}
-    got = [r.doc_id for r in kept.collect()]
-    assert sorted(x for x in got if x is not None) == sorted(smallest) and got.count(None) == 2
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({i for i, _, c in classes(rows, 2, 80) if i == c})
     assert jaccard.one_of_each(table(spark, [])).count() == 0
 
 
+def test_one_of_each_where_ids_repeat(spark):
+    """Each (id, text) is a document of its own; rows without an id stay."""
+    rows = near_copies(3, 200) + EDGE
+    order = sorted({r for r in rows if r[0] is not None}, key=lambda r: (r[0], hashlib.md5(r[1].encode()).hexdigest() if r[1] is not None else ""))
+    numbered = [(n, text) for n, (_, text) in enumerate(order)]
+    smallest = {n for n, _, c in classes(numbered, 2, 80) if n == c}
+    want = [order[n] for n in sorted(smallest)] + [r for r in rows if r[0] is None]
+    got = [(r.doc_id, r.text) for r in jaccard.one_of_each(table(spark, rows), size=2).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_boundary_follows_the_costs(monkeypatch):
     assert jaccard.boundary(85) >= 6
     monkeypatch.setattr(jaccard, "COST_SUBSET", 100.0)
