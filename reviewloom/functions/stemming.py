@@ -6,7 +6,10 @@ from the one before. No Python runs per word, and each distinct word is stemmed
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+
+#: (word column, dialect) to the columns of a stemmer, the last being _stem
+Rules = Callable[..., list[tuple[str, str]]]
 
 # Suffix tables and exceptions of the published Porter2 (Snowball English) definition
 SPECIAL = {
@@ -121,9 +124,9 @@ def steps(word: str, dialect: str = "spark") -> list[tuple[str, str]]:
     return found
 
 
-def stemmed_sql(words: str, word: str) -> str:
+def stemmed_sql(words: str, word: str, rules: Rules = steps) -> str:
     """DuckDB: a query that adds `_stem` to the rows of the query or table `words`."""
     out = f"(SELECT *, {word} AS _word FROM {words})"
-    for name, sql in steps("_word", "duckdb"):
+    for name, sql in rules("_word", "duckdb"):
         out = f"(SELECT *, {sql} AS {name} FROM {out})"
     return out

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from reviewloom.functions.stemming import steps
+from reviewloom.functions.stemming import Rules, steps
 from reviewloom.functions.text import blank_words, corpus_text, explode_words, ngrams
 from reviewloom.functions.words import CORPUS_STOP_WORDS, STOP_BIGRAMS, STOP_WORDS
 from reviewloom.operators.aggregates import business_stats, doc_freq, doc_freq_by, term_totals
@@ -18,18 +18,18 @@ from reviewloom.operators.ranking import top_words_limit
 from reviewloom.session import cut_lineage
 
 
-def word_stems(words: DataFrame, col: str, name: str = "stem") -> DataFrame:
+def word_stems(words: DataFrame, col: str, name: str = "stem", rules: Rules = steps) -> DataFrame:
     """The distinct words of a column with their stems, written once: rules that are inlined into filters or joins
     above would grow without end."""
     out = words.select(F.col(col).alias("_word")).distinct()
-    for step, sql in steps("_word"):
+    for step, sql in rules("_word"):
         out = out.withColumn(step, F.expr(sql))
     return cut_lineage(out.select(F.col("_word").alias(col), F.col("_stem").alias(name)), "stems")
 
 
-def stem_terms(df: DataFrame, col: str, name: str = "stem", by: str | None = None) -> DataFrame:
+def stem_terms(df: DataFrame, col: str, name: str = "stem", by: str | None = None, rules: Rules = steps) -> DataFrame:
     """Adds the stem of a word column. A common word is in most rows, so rows are dealt out by the column `by`."""
-    return spread_join(df, word_stems(df, col, name), col, by or col)
+    return spread_join(df, word_stems(df, col, name, rules), col, by or col)
 
 
 def stem_texts(texts: DataFrame, doc: str, text: str) -> DataFrame:
@@ -160,16 +160,17 @@ def tfidf(dtm: DataFrame, variant: str = "log2", doc: str = "review_id") -> Data
 
 
 def stemmed_tfidf(texts: DataFrame, doc: str = "file_name", text: str = "text",
-                  words: Sequence[str] = STOP_WORDS) -> DataFrame:
+                  words: Sequence[str] = STOP_WORDS, rules: Rules = steps) -> DataFrame:
     """Smoothed TF-IDF over the stems of a directory of texts.
 
-    Punctuation goes first, words are counted per document, each distinct word is stemmed once, and the
-    counts of words with one stem are added.
+    Punctuation goes first, words are counted per document, each distinct word is stemmed once (`rules`: `steps`, or
+    `porter_steps` for the first English stemmer), and the counts of words with one stem are added. Stems in `words` are
+    left out.
     """
     bare = F.regexp_replace(F.lower(text), r"\p{Punct}+", "")
     tokens = texts.select(doc, F.filter(F.split(bare, r"\s+"), lambda w: w != "").alias("tokens"))
     counted = doc_terms(tokens, doc, min_len=1)
-    stems = stem_terms(counted, "term", by=doc).filter(~F.col("stem").isin(list(words)))
+    stems = stem_terms(counted, "term", by=doc, rules=rules).filter(~F.col("stem").isin(list(words)))
     merged = stems.groupBy(doc, F.col("stem").alias("term")).agg(F.sum("n").alias("n"))
     return tfidf(merged, "smooth", doc)
 

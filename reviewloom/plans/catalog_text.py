@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewloom.functions.stemming import stemmed_sql
+from reviewloom.functions.porter import porter_steps
+from reviewloom.functions.stemming import stemmed_sql, steps
 from reviewloom.functions.text import blank_words, drop_stopwords, ngrams, simple_tokens, tokenize
 from reviewloom.functions.words import CORPUS_STOP_WORDS, STOP_BIGRAMS, STOP_WORDS
 from reviewloom.operators import aggregates as A, corpus as T, filters as P, ranking as K, reviewwords as R
@@ -318,18 +319,28 @@ def _(spark, sf):
     return T.tfidf(_dtm(spark, sf), "smooth").withColumn("weight", r6("weight"))
 
 
-@query("t17_stemmed_tfidf", f"""
+def _stemmed_weights(rules):
+    return f"""
 WITH w AS MATERIALIZED (SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(lower(text), '[[:punct:]]+', '', 'g'), '[ \\t\\n\\x0B\\f\\r]+')) AS word FROM documents),
 c AS MATERIALIZED (SELECT doc_id, word, count(*) AS n FROM w WHERE word <> '' GROUP BY 1, 2),
-st AS MATERIALIZED (SELECT word, _stem FROM {stemmed_sql("(SELECT DISTINCT word FROM c)", "word")}),
+st AS MATERIALIZED (SELECT word, _stem FROM {stemmed_sql("(SELECT DISTINCT word FROM c)", "word", rules)}),
 dtm AS MATERIALIZED (SELECT doc_id, _stem AS term, sum(n) AS n FROM c JOIN st USING (word) WHERE _stem NOT IN ({_quoted(STOP_WORDS)}) GROUP BY 1, 2),
 wt AS (SELECT doc_id, term, n * (ln((1 + (SELECT count(DISTINCT doc_id) FROM dtm))::DOUBLE / (1 + count(*) OVER (PARTITION BY term))) + 1) AS w FROM dtm)
-SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM wt""")
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM wt"""
+
+
+@query("t17_stemmed_tfidf", _stemmed_weights(steps))
 def _(spark, sf):
     texts = V.raw(spark, sf, "documents").select("doc_id", "text")
     return T.stemmed_tfidf(texts, doc="doc_id").withColumn("weight", r6("weight"))
 
 
+@query("t17_first_porter_tfidf", _stemmed_weights(porter_steps))
+def _(spark, sf):
+    texts = V.raw(spark, sf, "documents").select("doc_id", "text")
+    return T.stemmed_tfidf(texts, doc="doc_id", rules=porter_steps).withColumn("weight", r6("weight"))
+
+
 _PRUNED = _BIGRAMS + f""",
 tt AS (SELECT term FROM dtm WHERE term NOT IN ({_quoted(STOP_BIGRAMS)}) GROUP BY 1 HAVING sum(n) >= 10),
 pr AS (SELECT review_id, term, n FROM dtm WHERE term IN (SELECT term FROM tt))"""
