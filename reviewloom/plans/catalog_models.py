@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window as W, functions as F
 
-from reviewloom.operators import corpus as T, recommend as M, reviewwords as R, topics as L
+from reviewloom.operators import corpus as T, gibbs as G, recommend as M, reviewwords as R, topics as L
 from reviewloom.operators.checkins import total_checkins
 from reviewloom.plans import fixtures as V, report as O
 from reviewloom.plans.catalog_text import _BIGRAMS
@@ -106,6 +106,31 @@ def _(spark, sf):
     return L.topic_terms(L.fit_topics(_unigrams(spark, sf), 10), 10, wide=True)
 
 
+# Gibbs sampling, all five starts; the second query holds whatever the number of sweeps
+@query("t18_t19_gibbs_topics")
+def _(spark, sf):
+    return G.gibbs_terms(G.gibbs_topics(_unigrams(spark, sf), 5, burn_in=20, sweeps=10), 6)
+
+
+@query("t18_gibbs_counts_add_up", _PLAIN_BIGRAMS + """, pr AS (SELECT review_id, term, n FROM dtm WHERE term IN (SELECT term FROM tt))
+SELECT 'term' AS kind, term AS id, CAST(sum(n) AS BIGINT) AS n, true AS shares_fit FROM pr GROUP BY term
+UNION ALL SELECT 'review', CAST(review_id AS VARCHAR), CAST(sum(n) AS BIGINT), true FROM pr GROUP BY review_id""")
+def _(spark, sf):
+    dtm = cut_lineage(T.prune_bigrams(T.bigram_dtm(V.text_review(spark, sf), sparsity=None, stem=False), 10, stop=[]), "bigrams")
+    fitted = G.gibbs_topics(dtm, 8, burn_in=2, sweeps=2, thin=1)
+    words, docs = fitted.word_topics, fitted.doc_topics
+    whole = words.groupBy("topic").agg((F.abs(F.sum("weight") - 1) < 1e-6).alias("fits"))
+    return (
+        words.join(F.broadcast(whole), "topic").groupBy(  # 8 rows
+            F.lit("term").alias("kind"), F.col("term").alias("id")
+        ).agg(F.sum("n").alias("n"), F.bool_and("fits").alias("shares_fit"))
+        .unionByName(
+            docs.groupBy(F.lit("review").alias("kind"), F.col("review_id").cast("string").alias("id"))
+            .agg(F.sum("n").alias("n"), (F.abs(F.sum("prob") - 1) < 1e-6).alias("shares_fit"))
+        )
+    )
+
+
 @query("t22_ranks_of_all_users", """
 SELECT user_id, CAST(k.k AS INTEGER) AS rank FROM (SELECT DISTINCT user_id FROM v_review) u,
  (SELECT unnest(range(1, 1 + least(10, (SELECT count(DISTINCT business_id) FROM v_review)))) AS k) k""")
