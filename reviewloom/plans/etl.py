@@ -46,5 +46,5 @@ def restaurant_etl(spark: SparkSession, raw_dir: str, out_dir: str, files: Mappi
     tables = restaurant_tables(raw)
     for name, df in tables.items():
         cluster = "business_id" if name in ("review", "checkin") else None
-        save_table(df, f"{out_dir.rstrip('/')}/{name}.parquet", cluster)
+        save_table(df, f"{out_dir.rstrip('/')}/{name}.parquet", cluster, then="review_id" if name == "review" else ())
     return sorted(tables)
