@@ -119,8 +119,10 @@ def mix_sizes(docs: DataFrame, id: str = "doc_id", **options) -> DataFrame:
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: a row for each epoch a document is in, its columns, mix_epoch (from 1) and mix_words, the
-    leading words of the text that this epoch takes (all but at the cut)."""
+    leading words of the text that this epoch takes (all but at the cut). Columns of docs with these two names, in upper or
+    lower case, give way to them."""
     rows = take(docs, **options).where("taken > 0")
     left = lambda e: F.least("size", F.col("taken") - (e - 1) * F.col("size"))
     rows = rows.withColumn("mix_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))
-    return rows.select("row.*", "mix_epoch", left(F.col("mix_epoch")).alias("mix_words"))
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in ("mix_epoch", "mix_words")]
+    return rows.select(*own, "mix_epoch", left(F.col("mix_epoch")).alias("mix_words"))
