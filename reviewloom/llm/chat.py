@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reviewloom.operators.ordering import number_values
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -67,12 +69,22 @@ def flat(segments: str) -> tuple[Column, Column]:
 
 def with_other_replies(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", trained: str = "assistant") -> DataFrame:
     """Rejected conversations of a table without preferences: each with its last reply (turn of the trained role)
-    exchanged for that of its neighbour (ids 2k and 2k + 1), or dropped if the neighbour has none."""
-    said = F.col(role) == trained
-    last = turns.where(said).groupBy(F.col(conv).alias("_conv")).agg(F.max(turn).alias("_last"), F.max_by(text, F.struct(turn, text)).alias("_reply"))
-    other = last.select((F.col("_conv").bitwiseXOR(F.lit(1))).alias("_conv"), F.col("_reply").alias("_other"), F.lit(True).alias("_there"))
-    marked = turns.join(last.drop("_reply"), F.col(conv) == F.col("_conv"), "left").drop("_conv").join(other, F.col(conv) == F.col("_conv"), "left")
-    final = said & (F.col(turn) == F.col("_last"))
-    kept = marked.where(~F.coalesce(final, F.lit(False)) | F.col("_there"))
-    changed = F.when(F.coalesce(final, F.lit(False)), F.col("_other")).otherwise(F.col(text))
-    return kept.select(*[changed.alias(text) if c == text else F.col(f"`{c}`") for c in turns.columns])
+    exchanged for that of its neighbour (ids 2k and 2k + 1), or dropped if the neighbour has none.
+
+    Ids that are no whole numbers are numbered first, by `number_values`; their neighbours follow from that number. Rows without
+    id stay as they are, and so does a conversation without a reply. Last replies of one turn number: the greatest
+    text is handed over, all of them are exchanged. All columns are returned, whatever their names."""
+    # the row travels inside a struct, so its columns may have any names
+    row = F.struct(*[F.col(f"`{c}`") for c in turns.columns])
+    rows = turns.select(row.alias("row"), F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"), F.col(f"`{text}`").alias("text"), (F.col(f"`{role}`") == trained).alias("said"))
+    if turns.schema[conv].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
+        rows = rows.withColumn("number", F.col("conv").cast("long"))
+    else:
+        rows = rows.join(number_values(rows, "conv", "number"), "conv", "left").withColumn("number", F.col("number").cast("long"))
+    last = rows.where("said AND number IS NOT NULL").groupBy("number").agg(F.max("turn").alias("last"), F.max_by("text", F.struct("turn", "text")).alias("reply"))
+    other = last.select(F.col("number").bitwiseXOR(F.lit(1)).alias("number"), F.col("reply").alias("other"), F.lit(True).alias("there"))
+    marked = rows.join(last.drop("reply"), "number", "left").join(other, "number", "left")
+    final = F.coalesce(F.col("said") & (F.col("turn") == F.col("last")), F.lit(False))
+    changed = F.when(final, F.col("other")).otherwise(F.col("text"))
+    kept = marked.where(~final | F.col("there"))
+    return kept.select(*[changed.alias(c) if c == text else F.col("row")[c].alias(c) for c in turns.columns])
