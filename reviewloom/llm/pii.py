@@ -9,9 +9,12 @@ that is a real entity of the corpus, that another entity holds already, or that
 gets it) is drawn again. Only then are the texts written: a mention's surrogate takes the layout of the mention
 (separators, capitals), so coreference survives within and across documents. A name is any number of capitalised parts
 (with hyphens, apostrophes, initials and the small words of INSIDE) behind a title; the same full name without a title is
-found in the texts where it stands with one.
+found in the texts where it stands with one, and a titled last name ("Mr Smith") is the one full name of the text that
+ends in it, if there is just one that its title names too or else doesn't contradict. A person is a name and a gender: "Dr. John Smith" is the
+"Mr John Smith" of other texts, "Mrs Smith" is not "Mr Smith". Last names are put together of syllables, as many as it takes.
 
-Only documents with mentions meet the table of surrogates (by joins on entities and rows); all others pass
+Spark's own pattern matching lets pass most texts without any mention; the others are searched once, in Python, and
+written with what was found. Only documents with mentions meet the table of surrogates (by joins on entities and rows); all others pass
 as they are and are not shuffled.
 
 Defined results: null texts stay null and texts without mentions stay as they are; overlapping mentions go to the kind
@@ -32,7 +35,7 @@ from hashlib import blake2b
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from reviewloom.llm.shipping import small_batches
@@ -59,10 +62,15 @@ FIRST = {
     ("greek", "m"): "Αλέξης Βασίλης Γιάννης Δημήτρης Κώστας Λευτέρης Μιχάλης Νίκος Πέτρος Σταύρος",
     ("greek", "f"): "Αγγελική Βάσω Γεωργία Δήμητρα Ελένη Ζωή Κατερίνα Λένα Μαρία Νίκη",
 }
+#: last names are put together of a first, any number of inner and a last syllable
 LAST = {
-    "latin": "Abel Berger Carter Dalton Evans Fischer Garner Hansen Ingram Jensen Keller Larsen Moreno Nolan Ortega Parker Quinn Romero Silva Turner Ulrich Vargas Walker Young Zimmer",
-    "cyrillic": "Абрамов Беляев Волков Григоренко Дьяченко Ефименко Жуков Захаренко Ильенко Коваленко Литвиненко Мороз Назаренко Орленко Петренко",
-    "greek": "Αντωνίου Βασιλείου Γεωργίου Δημητρίου Ευαγγέλου Ιωάννου Κωνσταντίνου Λαμπρίδη Μιχαήλ Νικολάου",
+    "latin": ("Ba Be Bo Bra Car Dal Del Fa Fer Gar Hal Han Kel Lan Mar Mor Nel Or Par Per Ran Ros Sal Sten Tal Tor Val Ver Wal Win",
+              "ba da den do fe ga la le lin lo ma men mo na ne ri ro sa ta ven",
+              "berg by der dal feld ford gard holm ler land ley man mar ner rin sen son stad ter ton vik wood"),
+    "cyrillic": ("Ба Бе Бо Ва Ве Во Га Го Да До Жу За Зо Ка Ко Ла Ли Ма Ми Мо На Ни Ор Па Пе Ро Са Си Та Фо",
+                 "ба ва га да ла ле ли ло ма ме ми на но ра ре ри са та ти ту", "денко ренко тенко ленко менко сюк люк нюк ник вич рич дзе швили ян нян лан рон"),
+    "greek": ("Βα Βε Γα Γε Δα Δη Ζα Θε Κα Κο Λα Λε Μα Με Μι Να Νι Πα Πε Ρα Ρο Σα Σι Στα Τα Τσι Φα Φι Χα Χρι",
+              "βα γα δα κα κο λα λε λι μα με μι να νο πα ρα ρι ρο σα τα τι", "δου κου λου μου νου ρου σου του δάκη λάκη μάκη νάκη ράκη τάκη"),
 }
 
 
@@ -188,14 +196,15 @@ def script_of(name: str) -> str:
 
 
 def person(norm: str, key: bytes, attempt: int) -> str:
-    """norm is gender:name in lower case (n: not known from the title); as many words as the name has, first names only
-    before a last name."""
+    """norm is gender:name in lower case (n: no title tells it); as many words as the name has, first names only before a
+    last name. With every second attempt the last name gets one more syllable, which makes room without end."""
     gender, _, name = norm.partition(":")
     stream, script, words = Stream(key, "person", norm, str(attempt)), script_of(name), name.split()
-    lasts, firsts = LAST[script].split(), " ".join(FIRST[script, g] for g in ("mf" if gender == "n" else gender)).split()
-    out = [firsts[stream.below(len(firsts))] for _ in words[:-1]] + [lasts[stream.below(len(lasts))]]
-    for _ in range(attempt // 2):  # the lists are short: double names give room without end
-        out[-1] += "-" + lasts[stream.below(len(lasts))].lower()
+    firsts = " ".join(FIRST[script, g] for g in ("mf" if gender == "n" else gender)).split()
+    start, inner, end = (part.split() for part in LAST[script])
+    out = [firsts[stream.below(len(firsts))] for _ in words[:-1]]
+    middle = [inner[stream.below(len(inner))] for _ in range(1 + attempt // 2)]
+    out.append("".join([start[stream.below(len(start))], *middle, end[stream.below(len(end))]]))
     return f"{gender}:{' '.join(out).lower()}"
 
 
@@ -228,6 +237,11 @@ def _gender(titles: str) -> str:
     return next((g for g in known if g != "n"), "n")
 
 
+#: what stands before a four-part number that is no address
+_NO_VERSION = "".join(f"(?<!{w}{between})" for word in ("version", "release", "build", "revision") for w in (word, word.capitalize(), word.upper())
+                      for between in (" ", ": ", " v"))
+
+
 def _always(_: str) -> bool:
     return True
 
@@ -238,9 +252,9 @@ DETECTORS = {
         re.compile(r"(?<![\w.+-])(?P<x>[\w.+%-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})(?![\w-])"),
         lambda m: m["x"].lower(), _always, mail, re.compile("@")),
     "secret": Detector(
-        re.compile(r"(?<![0-9A-Za-z])(?P<x>(?:AKIA|ASIA)[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,}|[0-9a-f]{32,64})(?![0-9A-Za-z])"
-                   r"|\b(?i:password|passwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?(?P<y>(?=[^\s\"',;]*\d)[^\s\"',;]{6,})"),
-        lambda m: m["x"] or m["y"], _always, secret, re.compile(r"AKIA|ASIA|ghp_|sk-|[0-9a-f]{32}|[=:]\s*[\"']?\S{6}")),
+        re.compile(r"(?<![0-9A-Za-z])(?P<x>(?:AKIA|ASIA)[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,})(?![0-9A-Za-z])"
+                   r"|\b(?i:password|passwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?(?P<y>(?!\w+://)(?=[^\s\"',;]*\d)[^\s\"',;]{6,})"),
+        lambda m: m["x"] or m["y"], _always, secret, re.compile(r"AKIA|ASIA|ghp_|sk-|[=:]\s*[\"']?\S{6}")),
     "iban": Detector(
         re.compile(r"(?<!\w)(?P<x>[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?)(?!\w)"),
         lambda m: m["x"].replace(" ", ""), is_iban, iban, re.compile(r"[A-Z]{2}\d{2} ?[0-9A-Z]{4}")),
@@ -248,7 +262,7 @@ DETECTORS = {
         re.compile(r"(?<![\w.+-])(?P<x>\d{13,19}|\d{4}(?P<s>[ -])\d{4}(?P=s)\d{4}(?P=s)\d{1,7}|\d{4}(?P<z>[ -])\d{6}(?P=z)\d{5})(?![\w-])"),
         lambda m: digits_of(m["x"]), is_card, card, re.compile(r"\d{13}|\d{4}[ -]\d{4}")),
     "address": Detector(
-        re.compile(r"(?<![\w.])(?P<x>\d{1,3}(?:\.\d{1,3}){3})(?!\.?\w)"),
+        re.compile(rf"(?<![\w.]){_NO_VERSION}(?P<x>\d{{1,3}}(?:\.\d{{1,3}}){{3}})(?!\.?\w)"),
         lambda m: ".".join(str(int(p)) for p in m["x"].split(".")), is_address, address, re.compile(r"\d\.\d")),
     "social": Detector(
         re.compile(r"(?<![\w-])(?P<x>\d{3}-\d{2}-\d{4})(?![\w-])"),
@@ -262,6 +276,22 @@ DETECTORS = {
 }
 
 
+# what texts without any mention lack, for Spark's own search: a text that has a hint of some kind has one of these
+HINT_TEXTS = ["@", "ghp_", "sk-"]
+HINT = "(?=[^a-z ])(?:" + "|".join([  # no lower-case letter begins them, which passes most places at once
+    "AKIA", "ASIA", r"[=:][\s\p{Z}\x1c-\x1f\x85]*[\"']?[^\s]{6}", r"[A-Z]{2}\p{Nd}{2} ?[0-9A-Z]{4}", r"\p{Nd}{13}",
+    r"\p{Nd}{4}[ -]\p{Nd}{4}", r"\p{Nd}[.-]\p{Nd}", r"\+\p{Nd}", r"\(\p{Nd}{3}\)", *sorted(TITLES),
+]) + ")"
+
+
+def may_mention(text: Column) -> Column:
+    """False for most texts without a mention, and only for such."""
+    found = text.rlike(HINT)
+    for part in HINT_TEXTS:
+        found = found | F.contains(text, F.lit(part))
+    return F.coalesce(found, F.lit(False))
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, normal form), none overlapping, in order."""
     found: list[tuple[int, int, str, str]] = []
@@ -280,12 +310,25 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
 
 
 def with_repeats(text: str, found: list[tuple[int, int, str, str]], people: list[str]) -> list[tuple[int, int, str, str]]:
-    """The mentions and those of the same names without a title. A name has the gender of its first title that tells one."""
+    """The mentions and those of the same names without a title. A name has the gender of its first title that tells one.
+
+    A short titled name ("Mr Smith") is the one full name of the text that ends in it and does not contradict its title.
+    """
+    full = sorted({p[2:] for p in people if " " in p})
+    genders: dict[str, set[str]] = {f: {p[0] for p in people if p[2:] == f} - {"n"} for f in full}
+    link: dict[str, str] = {}
+    for norm in dict.fromkeys(people):
+        fits = [f for f in full if f.endswith(" " + norm[2:]) and (norm[0] == "n" or genders[f] <= {norm[0]})]
+        fits = [f for f in fits if genders[f] == {norm[0]}] or fits
+        if len(fits) == 1:
+            link[norm] = norm[:2] + fits[0]
+    people = [link.get(p, p) for p in people]
+    found = [(a, b, k, link.get(n, n) if k == "person" else n) for a, b, k, n in found]
     of: dict[str, str] = {}
     for norm in [p for p in people if p[0] != "n"] + people:
         of.setdefault(norm[2:], norm)
     out = [(a, b, k, of[n[2:]] if k == "person" and n[0] == "n" else n) for a, b, k, n in found]
-    written = {text[a:b] for a, b, k, _ in found if k == "person"}
+    written = {text[a:b] for a, b, k, n in found if k == "person" and len(text[a:b].split()) == len(n.split())}
     written = {w for w in written if re.search(f"{_LETTER}{{2}}", w)}  # initials alone mean nobody elsewhere
     if not written:
         return out
@@ -308,7 +351,7 @@ def laid_out(kind: str, mention: str, surrogate: str) -> str:
             out.append(rest.pop(0) if c.isalnum() and rest else c)
         return "".join(out + rest)
     if kind == "person":
-        name = surrogate.partition(":")[2]
+        name = " ".join(surrogate.partition(":")[2].split()[-len(mention.split()):])  # of a short form the last parts
         return name.upper() if mention.isupper() else re.sub(r"(?<!\w)\w", lambda m: m[0].upper(), name)
     if kind == "mail":
         return surrogate.upper() if mention.isupper() else surrogate
@@ -346,6 +389,17 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
     return settled
 
 
+def one_gender(entities: DataFrame) -> DataFrame:
+    """kind, norm and n (texts) with the column entity: a name whose titles tell no gender is the person of that name whose
+    titles do, of the gender with more texts (ties: f)."""
+    name, gender = F.substring("norm", 3, 1 << 30), F.substring("norm", 1, 1)
+    told = entities.where((F.col("kind") == "person") & (gender != "n")).groupBy(F.lit("person").alias("kind"), name.alias("name")).agg(
+        F.max_by("norm", F.struct("n", -F.ascii("norm"))).alias("told")
+    )
+    named = entities.withColumn("name", F.when((F.col("kind") == "person") & (gender == "n"), name))
+    return named.join(told, ["kind", "name"], "left").select("kind", "norm", "n", F.coalesce("told", "norm").alias("entity"))
+
+
 def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """row (a struct of the columns, the text rewritten) and entities, the (kind, norm) found in it. Runs jobs."""
     small_batches(docs.sparkSession)
@@ -357,11 +411,16 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     entry = "array<struct<kind:string,norm:string>>"
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    marked = docs.select(whole.alias("row"), detect.asNondeterministic()(F.col(f"`{text}`")).alias("entities"))
+    hinted = may_mention(F.col(f"`{text}`"))
+    plain = docs.where(~hinted).select(whole.alias("row"), F.array().cast(entry).alias("entities"))
+    # the texts that may hold a mention, searched once and written with what is found; numbers are given as they are read again
+    marked = cut_lineage(docs.where(hinted).select(whole.alias("row"), detect(F.col(f"`{text}`")).alias("entities")), "marked")
     clean = marked.where(F.size("entities") == 0)
     found = cut_lineage(marked.where(F.size("entities") > 0).withColumn("at", F.monotonically_increasing_id()), "mentions")
     pairs = found.select("at", F.explode("entities").alias("e")).select("at", "e.*")
-    table = surrogates(cut_lineage(pairs.select("kind", "norm").distinct(), "entities"), secret_key)
+    entities = cut_lineage(one_gender(pairs.groupBy("kind", "norm").agg(F.count(F.lit(1)).alias("n"))), "entities")
+    table = surrogates(entities.select("kind", F.col("entity").alias("norm")).distinct(), secret_key).withColumnRenamed("norm", "entity")
+    table = entities.select("kind", "norm", "entity").join(table, ["kind", "entity"]).select("kind", "norm", "surrogate")
     known = pairs.join(table, ["kind", "norm"]).groupBy("at").agg(
         F.collect_list(F.struct("kind", "norm", "surrogate")).alias("known")  # what one text mentions
     )
@@ -380,7 +439,7 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     joined = found.join(known, "at")
     new = F.col("row").withField(f"`{text}`", rewrite(F.col("row")[text], F.col("known")))
-    return clean.select("row", F.col("entities").cast(entry)).unionByName(joined.select(new.alias("row"), F.col("entities").cast(entry)))
+    return plain.unionByName(clean.select("row", F.col("entities").cast(entry))).unionByName(joined.select(new.alias("row"), F.col("entities").cast(entry)))
 
 
 def surrogate_texts(docs: DataFrame, key: str, text: str = "text", id: str = "doc_id") -> DataFrame:
