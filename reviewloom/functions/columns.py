@@ -84,8 +84,8 @@ def fill_zero(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.na.fill(0, subset=cols)
 
 
-def scale_to_max(df: DataFrame, key: str, col: str, top: float = 60.0) -> DataFrame:
+def scale_to_max(df: DataFrame, key: str | list[str], col: str, top: float = 60.0) -> DataFrame:
     """col / max(col of the key) * top. The maxima are aggregated before the join, one row per key."""
-    peak = df.groupBy(key).agg(F.max(col).cast("double").alias("_max"))
+    peak = df.groupBy(*([key] if isinstance(key, str) else key)).agg(F.max(col).cast("double").alias("_max"))
     scaled = (F.col(col).cast("double") / F.nullif("_max", F.lit(0.0)) * top).alias(col)
     return df.join(peak, key).select(*[scaled if c == col else F.col(c) for c in df.columns])

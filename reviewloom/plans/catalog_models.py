@@ -10,9 +10,10 @@ from pyspark.sql import Window as W, functions as F
 from reviewloom.operators import corpus as T, gibbs as G, recommend as M, reviewwords as R, topics as L
 from reviewloom.operators.checkins import total_checkins
 from reviewloom.plans import fixtures as V, report as O
-from reviewloom.plans.catalog_text import _BIGRAMS
+from reviewloom.plans.catalog_text import _BIGRAMS, _TOKENS
 from reviewloom.plans.etl import restaurant_etl, restaurant_tables
 from reviewloom.plans.registry import query
+from reviewloom.plans.stored_report import StoredReport, touched_businesses
 from reviewloom.session import cut_lineage, scratch_path
 from reviewloom.sources.tables import load_table
 
@@ -254,6 +255,38 @@ def _(spark, sf):
     return O.report(tables, V.CUT_DATE, ids=tables["business"].filter(F.col("state") == "EUROPE").select("business_id"))
 
 
+@query("o9_refreshed_report", f"""
+WITH d AS (SELECT business_id, date, count(*) AS n FROM v_review GROUP BY 1, 2),
+g AS (SELECT business_id, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM d GROUP BY 1),
+s AS (SELECT g.business_id, g.date, CAST(sum(coalesce(n, 0)) OVER (PARTITION BY g.business_id ORDER BY g.date) AS BIGINT) AS c
+ FROM g LEFT JOIN d ON d.business_id = g.business_id AND d.date = g.date),
+e AS (SELECT business_id, CAST(to_json({{'date': list(CAST(date AS VARCHAR) ORDER BY date), 'review_count': list(c ORDER BY date)}}) AS VARCHAR) AS review_count_series
+ FROM s WHERE date >= DATE '{V.CUT_DATE}' GROUP BY 1),
+p AS (SELECT a.business_id, b.name, count(*) AS review, count(*) FILTER (a.stars >= 4) AS good, count(*) FILTER (a.stars <= 2) AS bad
+ FROM v_review a JOIN v_review r ON r.user_id = a.user_id AND r.business_id <> a.business_id JOIN v_supplier_business b ON b.business_id = r.business_id GROUP BY 1, 2),
+t AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY business_id ORDER BY review DESC, name) <= 15),
+o AS (SELECT business_id, CAST(to_json({{'name': list(name ORDER BY review DESC, name), 'good_reviews': list(good ORDER BY review DESC, name),
+ 'bad_reviews': list(bad ORDER BY review DESC, name)}}) AS VARCHAR) AS overlap FROM t GROUP BY 1)
+SELECT v.business_id, v.name, coalesce(total_checkins, 0) AS checkins, review_count_series, overlap FROM v_supplier_business v
+ LEFT JOIN v_total USING (business_id) LEFT JOIN e USING (business_id) LEFT JOIN o USING (business_id)""")
+def _(spark, sf):
+    """A stored report of the reviews up to the last week, refreshed for the businesses that the last week touches."""
+    now = {"business": V.supplier_business(spark, sf), "review": V.review(spark, sf), "checkin": V.checkin(spark, sf)}
+    late = F.col("date") > F.date_sub(now["review"].agg(F.max("date")).scalar(), 7)
+    stored = StoredReport(spark, scratch_path(spark, "report"), "first", V.CUT_DATE, buckets=64)
+    stored.write(now | {"review": now["review"].filter(~late)}, ["summary", "count", "overlap"])
+    stored.refresh(now, touched_businesses(now["review"], now["review"].filter(late)), "last week")
+    return stored.read().select("business_id", "name", "checkins", "review_count_series", "overlap")
+
+
+@query("t3_words_of_all_kinds", "WITH " + _TOKENS + """, c AS (SELECT business_id, word, unnest([{'kind': 'all', 'n': count(*)},
+ {'kind': 'good', 'n': count(*) FILTER (stars >= 4)}, {'kind': 'bad', 'n': count(*) FILTER (stars < 3)}], recursive := true) FROM w GROUP BY 1, 2)
+SELECT business_id, kind, word, round(n / max(n) OVER (PARTITION BY business_id, kind) * 60.0::DOUBLE, 6) AS frequency FROM c WHERE n > 0
+QUALIFY row_number() OVER (PARTITION BY business_id, kind ORDER BY n DESC, word) <= 35""")
+def _(spark, sf):
+    return R.top_words_of_all_kinds(R.word_summary(V.text_review(spark, sf))).withColumn("frequency", r6("frequency"))
+
+
 @query("o9_summary_of_report", """
 SELECT business_id, name, city, state, coalesce(total_checkins, 0) AS checkins FROM v_supplier_business LEFT JOIN v_total USING (business_id)""")
 def _(spark, sf):
