@@ -139,6 +139,12 @@ def _(spark, sf):
     return M.recommend(V.review(spark, sf), 10).select("user_id", "rank")
 
 
+@query("t22_pruned_scores_agree", """
+SELECT user_id, least(10, (SELECT count(DISTINCT business_id) FROM v_review)) AS ranks, true AS agrees FROM v_review GROUP BY 1""")
+def _(spark, sf):
+    return M.retrieval_agreement(M.fit_recommender(V.review(spark, sf)), 10)
+
+
 @query("t5_holdout_accuracy_model")
 def _(spark, sf):
     text = R.holdout_accuracy_model(V.text_review(spark, sf), "src3")
