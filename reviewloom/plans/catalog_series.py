@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reviewloom.operators import aggregates as A, categories as C, cohorts as H, filters as P, linkage as L, series as W
+from reviewloom.operators import aggregates as A, categories as C, cohorts as H, filters as P, linkage as L, series as W, sketches as S
 from reviewloom.operators.checkins import checkin_profile, total_checkins
 from reviewloom.operators.overlap import customer_overlap, overlap_counts
 from reviewloom.operators.ranking import top_overlap
@@ -242,6 +242,25 @@ def _(spark, sf):
     return _overlap(spark, sf).withColumn("share", r6("share"))
 
 
+@query("o2_sketched_overlap", "WITH " + _KEPT + " SELECT i, j, round(share, 6) AS share, true AS exact FROM o")
+def _(spark, sf):
+    """Overlap from sketches of two halves of the businesses that were merged; exact up to 65,536 businesses of a category."""
+    least = int(V.raw(spark, sf, "part").count() / 20)  # as in _overlap
+    overlap = S.sketched_overlap(_merged_sketches(spark, sf), least)
+    return overlap.select("i", "j", r6("share").alias("share"), (F.col("error") == 0).alias("exact"))
+
+
+@query("a2_sketched_sizes", "SELECT categories_value, count(DISTINCT business_id) AS businesses FROM v_business_category GROUP BY 1")
+def _(spark, sf):
+    return S.sketched_sizes(_merged_sketches(spark, sf)).select("categories_value", "businesses")
+
+
+def _merged_sketches(spark, sf):
+    rows = V.business_category(spark, sf)
+    odd = F.col("business_id") % 2 == 1
+    return S.merge_sketches(S.set_sketches(rows.filter(odd)), S.set_sketches(rows.filter(~odd)))
+
+
 @query("f14_submatrix", "WITH " + _KEPT + " SELECT i, j, round(share, 6) AS share FROM o WHERE i IN ('red', 'blue', 'ECONOMY') AND j = 'Restaurants'")
 def _(spark, sf):
     return P.submatrix(_overlap(spark, sf), ["red", "blue", "ECONOMY"], ["Restaurants"]).withColumn("share", r6("share"))
