@@ -1,5 +1,6 @@
 """Work that follows what is there, not the width or the number of usual parts."""
 
+from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.sql import functions as F
 
 from reviewloom.operators import topics as L
@@ -24,3 +25,15 @@ def test_parts_of_texts_follow_their_length(spark, tmp_path, monkeypatch):
     assert texts.agg(F.sum(F.length("text"))).first()[0] == 2_000
     spark.createDataFrame([], "doc_id long, text string, source string, n_chars int").write.parquet(str(tmp_path / "none/documents.parquet"))
     assert V.text_review(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_bound_looks_at_the_terms_of_a_document(spark, monkeypatch):
+    """The bound of Spark ML's model, which raises the whole topic matrix to powers for each document."""
+    rows = [(d, f"t{(d * 7 + i * (1 + d % 3)) % 40}", 1 + (d + i) % 4) for d in range(50) for i in range(9)]
+    dtm = spark.createDataFrame(rows, "review_id long, term string, n long")
+    vectors = L.doc_vectors(dtm, *L.term_table(dtm))
+    for model in (LDA(k=3, seed=5, maxIter=5, featuresCol="features", **kinds).fit(vectors) for kinds in ({}, {"topicConcentration": 0.3}, {"optimizer": "em"})):
+        wanted = model.logLikelihood(vectors)
+        assert abs(L.log_likelihood(model, vectors) - wanted) < 1e-3 * abs(wanted)
+    monkeypatch.setattr(LDAModel, "logLikelihood", None)  # not run
+    assert L.fit_topics(dtm, 3, seeds=[5, 63], iterations=2).log_likelihood < 0
