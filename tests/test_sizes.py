@@ -3,7 +3,7 @@
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.sql import functions as F
 
-from reviewloom.operators import topics as L
+from reviewloom.operators import corpus as T, topics as L
 from reviewloom.plans import fixtures as V
 
 
@@ -37,3 +37,19 @@ def test_bound_looks_at_the_terms_of_a_document(spark, monkeypatch):
         assert abs(L.log_likelihood(model, vectors) - wanted) < 1e-3 * abs(wanted)
     monkeypatch.setattr(LDAModel, "logLikelihood", None)  # not run
     assert L.fit_topics(dtm, 3, seeds=[5, 63], iterations=2).log_likelihood < 0
+
+
+def test_stems_are_looked_up_by_part(spark, monkeypatch):
+    """Every word of every text was a row of a shuffle before; now the distinct words of a part are."""
+    monkeypatch.setattr(T, "PART_CHARS", 100)
+    lookups = []
+    word_stems = T.word_stems
+    monkeypatch.setattr(T, "word_stems", lambda words, *more: lookups.append(words.count()) or word_stems(words, *more))
+    rows = [(i, "running dogs " * 10 + f"w{i}", i % 2) for i in range(20)] + [(None, "x", 0), (30, None, 0), (31, "a b", 7), (31, "c", 8)]
+    texts = spark.createDataFrame(rows, "doc long, t string, extra int")
+    out = T.stem_texts(texts, "doc", "t")
+    assert out.columns == ["doc", "extra", "t"]
+    wanted = [(i, i % 2, "run dog " * 10 + f"w{i}") for i in range(20)] + [(31, 7, "a c b"), (31, 8, "a c b")]
+    assert sorted(map(tuple, out.collect())) == wanted
+    assert len(lookups) == 1 and lookups[0] < 80  # 420 words
+    assert T.stem_texts(texts.limit(0), "doc", "t").count() == 0
