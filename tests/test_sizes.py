@@ -4,7 +4,8 @@ from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.sql import functions as F
 
 from reviewloom.operators import corpus as T, topics as L
-from reviewloom.plans import fixtures as V
+from reviewloom.plans import catalog_models as M, fixtures as V
+from reviewloom.plans.catalog import QUERIES
 
 
 def test_cells_of_wide_vectors(spark):
@@ -53,3 +54,10 @@ def test_stems_are_looked_up_by_part(spark, monkeypatch):
     assert sorted(map(tuple, out.collect())) == wanted
     assert len(lookups) == 1 and lookups[0] < 80  # 420 words
     assert T.stem_texts(texts.limit(0), "doc", "t").count() == 0
+
+
+def test_raw_json_is_compressed(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(M, "scratch_path", lambda spark, name: str(tmp_path / name))
+    QUERIES["o8_etl_from_json"](spark, sf)
+    parts = [p for p in (tmp_path / "raw").rglob("part-*")]
+    assert len({p.parent.name for p in parts}) == 5 and all(p.name.endswith(".gz") for p in parts)
