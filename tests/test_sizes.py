@@ -61,3 +61,22 @@ def test_raw_json_is_compressed(spark, sf, tmp_path, monkeypatch):
     QUERIES["o8_etl_from_json"](spark, sf)
     parts = [p for p in (tmp_path / "raw").rglob("part-*")]
     assert len({p.parent.name for p in parts}) == 5 and all(p.name.endswith(".gz") for p in parts)
+
+
+def test_shuffles_by_term_follow_the_rows(spark, monkeypatch):
+    """The usual number of tasks got all rows before, and each use of a matrix computed it again."""
+    rows = [(d, f"t{(d * i) % 23}", 1 + (d + i) % 3) for d in range(40) for i in range(12)]
+    made = spark.createDataFrame(rows, "review_id long, term string, n long").groupBy("review_id", "term").agg(F.sum("n").alias("n"))
+    docs = made.select("review_id").distinct()
+
+    def results():
+        found = T.prune_bigrams(made, 30, stop=["t1"]), T.tfidf(made, "smooth"), T.drop_sparse(made, docs, 0.5)
+        return found, [sorted((r[0], r[1], round(r[2], 9)) for r in df.collect()) for df in found]
+
+    _, usual = results()
+    assert T.stored_matrix(made)[1] is None and all(usual)
+    monkeypatch.setattr(T, "PART_ROWS", 20)
+    many, split = results()
+    assert split == usual
+    parts = T.stored_matrix(made)[1]
+    assert parts > int(spark.conf.get("spark.sql.shuffle.partitions")) and many[0].rdd.getNumPartitions() == parts
